@@ -236,9 +236,9 @@ def score(df: DataFrame, bundle: Bundle, keep: Sequence[str], names: tuple[str,
         if n in bundle.calibrators:
             out = bundle.calibrators[n].apply(out, f"{n}_prob", f"{n}_cal")
     first = next(iter(bundle.base))
-    out = with_prob(out, bundle.stacker, "p") if bundle.stacker is not None else out.withColumn("p", F.col(f"{first}_prob"))
-    out = out.withColumn("predicted", (F.col("p") >= bundle.threshold).cast("int"))
-    new = ["p", "predicted", *[f"{n}_prob" for n in bundle.base]]
+    out = with_prob(out, bundle.stacker, "win_prob") if bundle.stacker is not None else out.withColumn("win_prob", F.col(f"{first}_prob"))
+    out = out.withColumn("predicted", (F.col("win_prob") >= bundle.threshold).cast("int"))
+    new = ["win_prob", "predicted", *[f"{n}_prob" for n in bundle.base]]
     if names:
         out = out.withColumn("predicted_name", F.when(F.col("predicted") == 1, F.col(names[0])).otherwise(F.col(names[1])))
         new.append("predicted_name")

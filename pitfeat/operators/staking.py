@@ -240,15 +240,16 @@ def yearly_compounding(df: DataFrame, date: str, event_name: str, keep: Sequence
 
     The growth rate is annualised over the span of the test rows, at least one day.
     """
+    event = list(dict.fromkeys([date, event_name]))
     rows = place_bets(df, policy)
-    equity = compound(rows, [date, event_name], start, by)
-    starts = equity.select(*by, date, event_name, "event_start_bankroll")
-    bets = (rows.where(F.col("fraction") > 0).join(starts, [*by, date, event_name])
+    equity = compound(rows, event, start, by)
+    starts = equity.select(*by, *event, "event_start_bankroll")
+    bets = (rows.where(F.col("fraction") > 0).join(starts, [*by, *event])
             .withColumn("wager_amount", F.col("event_start_bankroll") * F.col("fraction"))
-            .select(*by, date, event_name, *keep, F.col("side").alias("chosen_side"), F.col("p").alias("p_1"), (1.0 - F.col("p")).alias("p_2"),
+            .select(*by, *event, *keep, F.col("side").alias("chosen_side"), F.col("p").alias("p_1"), (1.0 - F.col("p")).alias("p_2"),
                     "price_1", "price_2", "edge_1", "edge_2", F.col("fraction").alias("bet_fraction"), "wager_amount", "event_start_bankroll"))
-    falls = drawdown(equity.withColumn("_step", F.col("bankroll") - F.col("event_start_bankroll")), [date, event_name], "_step", by, start=start)
-    at = F.struct(date, event_name)
+    falls = drawdown(equity.withColumn("_step", F.col("bankroll") - F.col("event_start_bankroll")), event, "_step", by, start=start)
+    at = F.struct(*event)
     figures = falls.groupBy(*by).agg(F.sum("n_bets").alias("n_bets"), F.max_by("bankroll", at).alias("final_bankroll"),
                                      F.min("drawdown").alias("max_drawdown"), F.min(date).alias("_a"), F.max(date).alias("_b"))
     growth = F.col("final_bankroll") / start
