@@ -35,9 +35,16 @@ def r6(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 6) + F.lit(0.0)
 
 
-def rounded(df: DataFrame, *skip: str) -> DataFrame:
-    return df.select(*[r6(c).alias(c) if t == "double" and c not in skip else F.col(c).cast("long").alias(c) if t == "int" else F.col(c)
-                       for c, t in df.dtypes])
+# Exact ties at the seventh digit would round by last-bit noise of the summing order; this moves them off the tie.
+NUDGE = 1e-8
+
+
+def rounded(df: DataFrame, nudge: float = 0.0) -> DataFrame:
+    """Doubles rounded to 6 digits, ints as longs."""
+    def double(c: str) -> Column:
+        return r6(F.col(c) + nudge) if nudge else r6(c)
+
+    return df.select(*[double(c).alias(c) if t == "double" else F.col(c).cast("long").alias(c) if t == "int" else F.col(c) for c, t in df.dtypes])
 
 
 # All columns of a line, which together order the lines of an order.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import LINE, SQL_LINES, SQL_SIDES, lines, query, rounded, sides, table
+from catalog.base import LINE, NUDGE, SQL_LINES, SQL_SIDES, lines, query, rounded, sides, table
 from pitfeat.functions.numbers import kelly, safe_ratio, softmax
 from pitfeat.operators.clean import prefix
 from pitfeat.operators.pairing import matchup, pair_sides, rank_features
@@ -90,12 +90,12 @@ def quotes(spark, d):
   from lines where l_quantity < 49),
 m as (select match, avg(a) as a, avg(b) as b, min(a) as alo, min(b) as blo, max(a) as ahi, max(b) as bhi, count(distinct book) as num_books,
   string_agg(distinct book, ',' order by book) as books, max(updated) as last_update from q group by match)
-select match, 'alpha' as side_1, 'beta' as side_2, round(a, 6) as price_1, round(b, 6) as price_2, round(alo, 6) as price_1_min, round(blo, 6) as price_2_min,
-  round(ahi, 6) as price_1_max, round(bhi, 6) as price_2_max, round(1 / a, 6) as implied_1, round(1 / b, 6) as implied_2,
-  round((1 / a) / (1 / a + 1 / b), 6) as fair_1, round((1 / b) / (1 / a + 1 / b), 6) as fair_2, round((1 / a + 1 / b - 1) * 100, 6) + 0.0 as margin_percent,
+select match, 'alpha' as side_1, 'beta' as side_2, round(a + {NUDGE}, 6) + 0.0 as price_1, round(b + {NUDGE}, 6) + 0.0 as price_2, round(alo + {NUDGE}, 6) + 0.0 as price_1_min, round(blo + {NUDGE}, 6) + 0.0 as price_2_min,
+  round(ahi + {NUDGE}, 6) + 0.0 as price_1_max, round(bhi + {NUDGE}, 6) + 0.0 as price_2_max, round(1 / a + {NUDGE}, 6) + 0.0 as implied_1, round(1 / b + {NUDGE}, 6) + 0.0 as implied_2,
+  round((1 / a) / (1 / a + 1 / b) + {NUDGE}, 6) + 0.0 as fair_1, round((1 / b) / (1 / a + 1 / b) + {NUDGE}, 6) + 0.0 as fair_2, round((1 / a + 1 / b - 1) * 100 + {NUDGE}, 6) + 0.0 as margin_percent,
   num_books, books, last_update from m""")
 def price_consensus(spark, d):
-    return rounded(consensus_prices(quotes(spark, d), ["match"], "book", "updated", "n1", "n2", "o1", "o2"))
+    return rounded(consensus_prices(quotes(spark, d), ["match"], "book", "updated", "n1", "n2", "o1", "o2"), NUDGE)
 
 
 @query("quote_keys", """select o_orderkey, strftime(o_orderdate, '%Y%m%dT%H%MZ') || '-' || least(regexp_replace(lower(c_name), '[^a-z0-9]+', '-', 'g'), regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '-', 'g'))

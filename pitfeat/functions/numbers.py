@@ -84,11 +84,24 @@ def sq_err(p: Column, y: Column) -> Column:
     return (p - y) * (p - y)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def softmax(scores: Column, temperature: float = 1.0) -> Column:
     """Softmax of an array column divided by a temperature, shifted by its maximum."""
-    scaled = F.transform(scores, lambda x: x / F.lit(float(temperature)))
-    top = F.array_max(scaled)
-    return renormalise(F.transform(scaled, lambda x: F.exp(x - top)))
+    t = F.lit(float(temperature))
+    powers = _let(F.array_max(scores), lambda top: F.transform(scores, lambda x: F.exp((x - top) / t)))
+    return renormalise(powers)
+
+
+def true_class_prob(scores: Column, code: Column, temperature: float = 1.0) -> Column:
+    """Softmax probability of one class, without building the vector."""
+    t = F.lit(float(temperature))
+    top = F.array_max(scores)
+    total = _let(top, lambda m: F.aggregate(scores, F.lit(0.0), lambda acc, x: acc + F.exp((x - m) / t)))
+    return F.exp((F.get(scores, code) - top) / t) / total
 
 
 def array_sum(values: Column) -> Column:
@@ -97,8 +110,7 @@ def array_sum(values: Column) -> Column:
 
 def renormalise(values: Column) -> Column:
     """Scale an array to sum 1; an all-zero array is left as it is."""
-    total = array_sum(values)
-    return F.transform(values, lambda x: x / F.when(total == 0.0, F.lit(1.0)).otherwise(total))
+    return _let(values, lambda v: _let(array_sum(v), lambda s: F.transform(v, lambda x: x / F.when(s == 0.0, F.lit(1.0)).otherwise(s))))
 
 
 def argmax_index(values: Column) -> Column:

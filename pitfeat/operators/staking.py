@@ -165,39 +165,54 @@ def compound(bets: DataFrame, event: Sequence[str], start: float = START_BANKROL
                         (F.lit(start) * F.col("_to")).alias("bankroll"))
 
 
+def _band(value: Column, floors: Sequence[float]) -> Column:
+    """How many of the ascending floors the value reaches."""
+    return sum([(value >= f).cast("int") for f in floors[1:]], (value >= floors[0]).cast("int"))
+
+
 def policy_scores(df: DataFrame, grid: Sequence[Policy] = tuple(GRID), event: str | None = None, max_exposure: float | None = None,
                   p: str = "p", y: str = "y", price_1: str = "price_1", price_2: str = "price_2") -> DataFrame:
-    """Wager, profit, return, and per-row return ratio of every policy, from one pass.
+    """Wager, profit, return, and per-row return ratio of every policy, from one pass and without copying rows.
 
-    The side depends on the edge floor only, so rows first meet the few distinct floors and leave if no side
-    qualifies. What remains meets the policies of that floor and is folded at once to one row per (policy, event);
-    the event exposure limit scales those folded rows.
+    A bet goes to the side with the larger edge; the policy's floors only decide whether it is placed. So a row is
+    described by how many edge floors and probability floors it reaches, and rows are summed per event and pair of
+    these counts, with one pair of sums for each (cap, multiplier). Policies are then sums over the few counts they
+    accept; the event exposure limit scales those sums.
     """
     pc, yc, o1, o2 = F.col(p), F.col(y), F.col(price_1), F.col(price_2)
-    floors = sorted({g.min_edge for g in grid})
-    entries = F.array(*[F.struct(F.lit(i).alias("policy"), F.lit(float(g.min_edge)).alias("min_edge"), F.lit(float(g.cap)).alias("cap"),
-                                 F.lit(float(g.multiplier)).alias("multiplier"), F.lit(float(g.p_min)).alias("p_min")) for i, g in enumerate(grid)])
-    rows = df.where(pc.isNotNull() & o1.isNotNull() & o2.isNotNull())
-    ready = rows.select(
-        (F.col(event) if event else F.lit(None).cast("string")).alias("_event"), pc.alias("_p"),
-        edge(pc, o1).alias("_e1"), edge(1.0 - pc, o2).alias("_e2"), kelly(pc, o1).alias("_k1"), kelly(1.0 - pc, o2).alias("_k2"),
-        _unit(F.lit(1), yc, o1, o2).alias("_u1"), _unit(F.lit(2), yc, o1, o2).alias("_u2"),
-        F.explode(F.array(*[F.lit(float(x)) for x in floors])).alias("_floor"))
-    sided = ready.withColumn("_side", _side(F.col("_e1"), F.col("_e2"), F.col("_floor"))).where("_side > 0")
-    tried = sided.withColumn("g", F.explode(F.filter(entries, lambda e: e["min_edge"] == F.col("_floor"))))
-    f = _fraction(F.col("_side"), F.col("_k1"), F.col("_k2"), F.col("_p"), F.col("g.cap"), F.col("g.multiplier"), F.col("g.p_min"))
-    unit = F.when(F.col("_side") == 1, F.col("_u1")).otherwise(F.col("_u2"))
-    placed = tried.select("_event", F.col("g.policy").alias("policy"), f.alias("_f"), unit.alias("_u")).where("_f > 0")
-    # only the policy number travels through the shuffles
-    per_event = placed.groupBy("policy", "_event").agg(
-        F.sum("_f").alias("_f"), F.sum(F.col("_f") * F.col("_u")).alias("_g"), F.sum("_u").alias("_r"),
-        F.sum(F.col("_u") * F.col("_u")).alias("_rr"), F.count(F.lit(1)).alias("_n"))
+    edges, floors = sorted({float(g.min_edge) for g in grid}), sorted({float(g.p_min) for g in grid})
+    sizes = sorted({(float(g.cap), float(g.multiplier)) for g in grid if g.cap > 0 and g.multiplier > 0})
+    e1, e2 = edge(pc, o1), edge(1.0 - pc, o2)
+    first = F.col("_e1") >= F.col("_e2")
+    rows = df.where(pc.isNotNull() & o1.isNotNull() & o2.isNotNull()).select(
+        (F.col(event) if event else F.lit(None).cast("string")).alias("_event"), pc.alias("_p"), yc.alias("_y"), o1.alias("_o1"), o2.alias("_o2"),
+        e1.alias("_e1"), e2.alias("_e2"))
+    sided = rows.select(
+        "_event", _band(F.greatest("_e1", "_e2"), edges).alias("_edge"),
+        _band(F.when(first, F.col("_p")).otherwise(1.0 - F.col("_p")), floors).alias("_floor"),
+        F.when(first, kelly(F.col("_p"), F.col("_o1"))).otherwise(kelly(1.0 - F.col("_p"), F.col("_o2"))).alias("_k"),
+        _unit(F.when(first, 1).otherwise(2), F.col("_y"), F.col("_o1"), F.col("_o2")).alias("_u"))
+    placed = sided.where("_k > 0 and _edge > 0 and _floor > 0")
+    staked = [F.least(F.col("_k") * m, F.lit(c)) for c, m in sizes]
+    folded = placed.groupBy("_event", "_edge", "_floor").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_u").alias("_r"), F.sum(F.col("_u") * F.col("_u")).alias("_rr"),
+        *[F.sum(f).alias(f"_f{i}") for i, f in enumerate(staked)], *[F.sum(f * F.col("_u")).alias(f"_g{i}") for i, f in enumerate(staked)])
+    # one entry per policy: which sums it reads and which counts it accepts
+    tried = F.array(*[
+        F.struct(F.lit(i).alias("policy"), F.lit(edges.index(g.min_edge)).alias("edge"), F.lit(floors.index(g.p_min)).alias("floor"),
+                 F.lit(sizes.index((g.cap, g.multiplier)) if g.cap > 0 and g.multiplier > 0 else -1).alias("size")) for i, g in enumerate(grid)])
+    each = folded.select("_event", "_edge", "_floor", "_n", "_r", "_rr", F.array(*[f"_f{i}" for i in range(len(sizes))]).alias("_fs"),
+                         F.array(*[f"_g{i}" for i in range(len(sizes))]).alias("_gs"), F.explode(tried).alias("t"))
+    each = each.where((F.col("_edge") > F.col("t.edge")) & (F.col("_floor") > F.col("t.floor")) & (F.col("t.size") >= 0))
+    per_event = each.groupBy(F.col("t.policy").alias("policy"), "_event").agg(
+        F.sum(F.get("_fs", "t.size")).alias("_f"), F.sum(F.get("_gs", "t.size")).alias("_g"), F.sum("_r").alias("_r"), F.sum("_rr").alias("_rr"), F.sum("_n").alias("_n"))
     scale = F.lit(1.0) if not max_exposure else F.when(F.col("_f") > max_exposure, F.lit(max_exposure) / F.col("_f")).otherwise(1.0)
     totals = per_event.groupBy("policy").agg(
         F.sum(F.col("_f") * scale).alias("total_wager"), F.sum(F.col("_g") * scale).alias("total_profit"),
         F.sum("_r").alias("_r"), F.sum("_rr").alias("_rr"), F.sum("_n").alias("n_bets"))
-    n_rows = df.agg(F.count(F.lit(1)).alias("_rows"))
-    every = n_rows.select("_rows", F.explode(entries).alias("g")).select("_rows", "g.*")
+    entries = F.array(*[F.struct(F.lit(i).alias("policy"), F.lit(float(g.min_edge)).alias("min_edge"), F.lit(float(g.cap)).alias("cap"),
+                                 F.lit(float(g.multiplier)).alias("multiplier"), F.lit(float(g.p_min)).alias("p_min")) for i, g in enumerate(grid)])
+    every = df.agg(F.count(F.lit(1)).alias("_rows")).select("_rows", F.explode(entries).alias("g")).select("_rows", "g.*")
     joined = every.join(totals, "policy", "left")
     mean = F.col("_r") / F.col("_rows")
     spread = F.sqrt(F.greatest(F.col("_rr") / F.col("_rows") - mean * mean, F.lit(0.0)))
