@@ -99,7 +99,7 @@ def metrics_multiclass(spark, d):
   (values (0.5::double), (0.75), (1.0), (1.25), (1.5), (2.0), (2.5), (3.0)) g(t))
 select t as temperature, round(avg(-ln(case y when 0 then ea when 1 then eb else ec end / (ea + eb + ec) + 1e-12)), 6) as nll from s group by t""")
 def temperature_search(spark, d):
-    return rounded(temperature_scores(_logits(spark, d), "logits", "y").drop("pos"))
+    return rounded(temperature_scores(_logits(spark, d), "logits", "y", classes=3).drop("pos"))
 
 
 THRESHOLDS = "thr as (select unnest([" + ", ".join(repr(t) for t in m.THRESHOLDS) + "]::double[]) as t)"

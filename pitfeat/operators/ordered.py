@@ -28,10 +28,17 @@ def hot_keys(df: DataFrame, by: Sequence[str], hot_rows: int) -> DataFrame:
     return df.groupBy(*by).count().where(F.col("count") > hot_rows).drop("count")
 
 
-def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """(usual rows, rows of hot keys); ``None`` for a part known to be empty."""
+def no_hot_keys(frames: Sequence[DataFrame], by: Sequence[str], hot_rows: int) -> bool:
+    """Whether no key is hot over several tables together."""
+    return hot_keys(reduce(DataFrame.unionByName, [f.select(*by) for f in frames]), by, hot_rows).isEmpty()
+
+
+def split_hot(df: DataFrame, by: Sequence[str], hot_rows: int | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """(usual rows, rows of hot keys); ``None`` for a part known to be empty. ``hot_rows=None`` vouches for no hot key."""
     if not by:
         return None, df
+    if hot_rows is None:
+        return df, None
     hot = hot_keys(df, by, hot_rows)
     if hot.isEmpty():
         return df, None
@@ -140,7 +147,7 @@ def running_small(df: DataFrame, by: Sequence[str], order: Sequence[str | Column
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], totals: Mapping[str, tuple],
-            hot_rows: int = HOT_ROWS) -> DataFrame:
+            hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Running totals from the first row of a key up to the current row.
 
     ``totals`` maps a new column to (kind, value), kind being count, sum, max, min, product or last (last non-null).

@@ -11,7 +11,7 @@ from pitfeat.functions.numbers import safe_ratio
 from pitfeat.functions.text import clock_to_seconds, norm_key, strip, to_number
 from pitfeat.operators.aggregates import dedupe_first
 from pitfeat.operators.joins import asof_backward, enrich
-from pitfeat.operators.ordered import HOT_ROWS
+from pitfeat.operators.ordered import HOT_ROWS, no_hot_keys
 from pitfeat.operators.pairing import SIDES, matchup, pair_sides, rank_features
 from pitfeat.operators.pit import GAP_ROWS, HORIZONS, WINDOWS, pit_features
 from pitfeat.operators.pricing import implied_prices, price_features
@@ -86,6 +86,8 @@ def entity_history(stats: DataFrame, cfg: MatchTables, ranks: DataFrame | None =
     Both steps are windows over the entity, so the as-of join and the features share one shuffle.
     """
     if ranks is not None:
+        if no_hot_keys([stats, ranks], [cfg.entity], hot_rows):
+            hot_rows = None  # asked once for both steps
         stats = asof_backward(stats, ranks, [cfg.entity], cfg.ts, "rank_date", ["rank"], ["rank"], list(cfg.tie), hot_rows)
     out = pit_features(stats, [cfg.entity], cfg.ts, list(cfg.tie), list(cfg.measures), list(cfg.rates), cfg.windows, cfg.horizons, hot_rows=hot_rows)
     keep = dict.fromkeys([cfg.match, cfg.entity, cfg.ts, *cfg.side_order, *(["rank"] if ranks is not None else []), *cfg.recency, *cfg.rolled, *cfg.summed])

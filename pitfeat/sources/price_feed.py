@@ -14,7 +14,8 @@ MARKET = "h2h"
 def flatten_price_feed(feed: DataFrame, column: str = "json", market: str = MARKET) -> DataFrame:
     """First head-to-head market of each book, its first two outcomes; books without two outcomes are left out."""
     entry = feed.select(F.from_json(F.col(column), FEED).alias("e"))
-    books = entry.select("e.*").withColumn("b", F.explode("bookmakers")).drop("bookmakers")
+    # explode_outer: plain explode adds a filter on the array's size, for which each text would be parsed once more
+    books = entry.select("e.*").withColumn("b", F.explode_outer("bookmakers")).drop("bookmakers")
     chosen = F.get(F.filter("b.markets", lambda m: m["key"] == market), F.lit(0))
     rows = books.withColumn("m", chosen).where(F.size("m.outcomes") >= 2)
     first, second = F.col("m.outcomes")[0], F.col("m.outcomes")[1]
