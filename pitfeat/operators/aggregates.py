@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -124,6 +123,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str], exact_rows: int = EXACT
             if not (b <= k1 and k2 < b + w) or w >= within:
                 # the guess missed the middle or did not help: halve the bracket at an actual value instead
                 new_lo, new_hi, b, w = _halve(df, value(columns[i]), lo, hi, below, k1, k2)
+                if b is None:
+                    medians[i] = (new_lo + new_hi) / 2
             else:
                 new_lo, new_hi = new[i]
             state[i] = [n, new_lo, new_hi, b, w]
@@ -140,11 +141,5 @@ def _halve(df: DataFrame, value: Column, lo: float, hi: float, below: int, k1: i
         return lo, r["left_hi"], below, r["n"]
     if k1 >= below + r["n"]:
         return r["right_lo"], hi, below + r["n"], r["m"]
-    # the two middle values lie on either side: keep just them
-    a, b = r["left_hi"], r["right_lo"]
-    first = df.agg(F.count_if(value < a).alias("b"), F.count_if(value.between(a, b)).alias("w")).first()
-    return a, b, first["b"], first["w"]
-
-
-def is_missing(x: float | None) -> bool:
-    return x is None or math.isnan(x)
+    # the last value on the left and the first on the right are the two middle values
+    return r["left_hi"], r["right_lo"], None, 0
