@@ -72,6 +72,8 @@ def binary_metrics(df: DataFrame, p: str, y: str, threshold: float = 0.5, by: Se
 
     The scan folds rows to one per (group, bin) for everything but the ROC area, which needs the distinct scores.
     """
+    if not by:
+        return binary_metrics(df.withColumn("_all", F.lit(0)), p, y, threshold, ["_all"], bins, hot_rows).drop("_all")
     rows = df.where(F.col(p).isNotNull() & F.col(y).isNotNull())
     pc, yc = F.col(p), F.col(y)
     plain = rows.groupBy(*by).agg(
@@ -79,9 +81,7 @@ def binary_metrics(df: DataFrame, p: str, y: str, threshold: float = 0.5, by: Se
         *[c.alias(n) for n, c in _threshold_metrics(pc, yc, threshold).items()],
         F.avg((pc - yc) * (pc - yc)).alias("brier_score"))
     area, gap = auc(rows, p, y, by, hot_rows), ece(rows, p, y, by, bins)
-    if by:
-        return plain.join(area, list(by)).join(gap, list(by))
-    return plain.crossJoin(area).crossJoin(gap)  # one row each
+    return plain.join(area, list(by)).join(gap, list(by))
 
 
 def metrics_table(scores: DataFrame, by: Sequence[str] = ("model", "split", "calibrated"), p: str = "p", y: str = "y") -> DataFrame:
@@ -132,9 +132,9 @@ def best_threshold(df: DataFrame, p: str, y: str, thresholds: Sequence[float] =
     from pitfeat.operators.aggregates import best_by
 
     scores = threshold_scores(df, p, y, sorted({*thresholds}))
-    best = best_by(scores, "accuracy", tie=["threshold"])
+    best = best_by(scores, "accuracy", tie=["threshold"]).withColumn("_all", F.lit(0))
     base = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).agg(
-        F.avg(((F.col(p) >= default) == (F.col(y) == 1)).cast("double")).alias("_base"))
-    return best.crossJoin(base).select(  # one row each
+        F.avg(((F.col(p) >= default) == (F.col(y) == 1)).cast("double")).alias("_base")).withColumn("_all", F.lit(0))
+    return best.join(base, "_all").select(
         F.when(F.col("accuracy") > F.col("_base"), F.col("threshold")).otherwise(F.lit(default)).alias("threshold"),
         F.greatest("accuracy", "_base").alias("accuracy"))

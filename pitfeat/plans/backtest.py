@@ -85,9 +85,9 @@ def walk_forward_backtest(df: DataFrame, cfg: Setup, calendar: Sequence[tuple],
         placed = durable(place_bets(_as_bets(scored, cfg), policy, cfg.event, [cfg.ts, cfg.key], cfg.max_bets, cfg.max_exposure).select(
             F.lit(fold).alias("fold"), *cfg.carried(), "p", *[c for c in ("y", "price_1", "price_2") if c not in cfg.carried()],
             "side", "fraction", "profit"))
-        quality = metrics.binary_metrics(placed, "p", "y").drop("n")
-        returns = roi_summary(placed).select("roi", "n_bets", "total_wager", "total_profit")
-        per_fold.append(quality.crossJoin(returns).select(F.lit(fold).alias("fold"), F.lit(start).alias("start"), F.lit(end).alias("end"), "*"))
+        quality = metrics.binary_metrics(placed, "p", "y", by=["fold"]).drop("n")
+        returns = roi_summary(placed, ["fold"]).select("fold", "roi", "n_bets", "total_wager", "total_profit")
+        per_fold.append(quality.join(returns, "fold").withColumns({"start": F.lit(start), "end": F.lit(end)}))
         bets.append(placed)
     if not bets:
         raise ValueError("no fold has enough rows")
