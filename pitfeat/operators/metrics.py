@@ -66,14 +66,19 @@ def brier(df: DataFrame, p: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.avg((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("brier_score"))
 
 
+def _side_by_side(results: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
+    """Figures of one row per group each, put next to each other by folding their union; no join, keyed or not."""
+    names = [c for r in results for c in r.columns if c not in by]
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    return both.groupBy(*by).agg(*[F.max(n).alias(n) for n in names])
+
+
 def binary_metrics(df: DataFrame, p: str, y: str, threshold: float = 0.5, by: Sequence[str] = (), bins: int = BINS,
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """log_loss, accuracy, roc_auc, precision, recall, f1, brier_score, expected_calibration_error per group.
 
     The scan folds rows to one per (group, bin) for everything but the ROC area, which needs the distinct scores.
     """
-    if not by:
-        return binary_metrics(df.withColumn("_all", F.lit(0)), p, y, threshold, ["_all"], bins, hot_rows).drop("_all")
     rows = df.where(F.col(p).isNotNull() & F.col(y).isNotNull())
     pc, yc = F.col(p), F.col(y)
     plain = rows.groupBy(*by).agg(
@@ -81,7 +86,7 @@ def binary_metrics(df: DataFrame, p: str, y: str, threshold: float = 0.5, by: Se
         *[c.alias(n) for n, c in _threshold_metrics(pc, yc, threshold).items()],
         F.avg((pc - yc) * (pc - yc)).alias("brier_score"))
     area, gap = auc(rows, p, y, by, hot_rows), ece(rows, p, y, by, bins)
-    return plain.join(area, list(by)).join(gap, list(by))
+    return _side_by_side([plain, area, gap], by)
 
 
 def metrics_table(scores: DataFrame, by: Sequence[str] = ("model", "split", "calibrated"), p: str = "p", y: str = "y") -> DataFrame:
@@ -132,9 +137,9 @@ def best_threshold(df: DataFrame, p: str, y: str, thresholds: Sequence[float] =
     from pitfeat.operators.aggregates import best_by
 
     scores = threshold_scores(df, p, y, sorted({*thresholds}))
-    best = best_by(scores, "accuracy", tie=["threshold"]).withColumn("_all", F.lit(0))
+    best = best_by(scores, "accuracy", tie=["threshold"])
     base = df.where(F.col(p).isNotNull() & F.col(y).isNotNull()).agg(
-        F.avg(((F.col(p) >= default) == (F.col(y) == 1)).cast("double")).alias("_base")).withColumn("_all", F.lit(0))
-    return best.join(base, "_all").select(
+        F.avg(((F.col(p) >= default) == (F.col(y) == 1)).cast("double")).alias("_base"))
+    return _side_by_side([best, base], []).select(
         F.when(F.col("accuracy") > F.col("_base"), F.col("threshold")).otherwise(F.lit(default)).alias("threshold"),
         F.greatest("accuracy", "_base").alias("accuracy"))

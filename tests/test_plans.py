@@ -36,7 +36,7 @@ def test_date_ranges_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text and "o_totalprice" not in text
 
 
-@pytest.mark.parametrize("name", ["gold_features", "asof_backward", "price_consensus", "policy_grid", "threshold_search", "metrics_binary", "walk_forward_counts",
+@pytest.mark.parametrize("name", ["gold_features", "asof_backward", "price_consensus", "policy_grid", "threshold_search", "best_threshold", "metrics_binary", "walk_forward_counts",
                                   "event_caps", "fold_sizes", "dq_suite", "page_stats", "price_feed_flat", "temperature_search"])
 def test_no_pairwise_joins_and_no_python(spark, name):
     text = plan(queries()[name](spark, SF))
