@@ -42,7 +42,7 @@ def crc_mod(c: Column | str, n: int) -> Column:
 
 
 def pieces(df: DataFrame, each: int) -> int:
-    """Partitions of about ``each`` bytes for a stored table, by the size its plan states; at least the session's number."""
+    """Partitions of about ``each`` bytes for a stored table, by the size its plan states; at least the session's number, also where the size is unknown."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(least, -(-size // each))
+    return least if size >= 1 << 60 else max(least, -(-size // each))
