@@ -81,9 +81,10 @@ class Encoder:
             self.kept.update((u, ids) for u, ids in learnt.items() if len(u) <= KEPT_CHARS)
             if any(len(u) > KEPT_CHARS for u in learnt):
                 known = self.kept | {u: ids for u, ids in learnt.items() if len(u) > KEPT_CHARS}
-        heads = self.tokenizer.encode_batch([x[0] for x in cut], add_special_tokens=False)
+        first = [x[0] for x in cut if x[0]]
+        heads = iter(self.tokenizer.encode_batch(first, add_special_tokens=False) if first else [])
         ids_of = known.__getitem__
-        return [np.array(h.ids, self.type).tobytes() + b"".join(map(ids_of, x[1:])) for h, x in zip(heads, cut)]
+        return [(np.array(next(heads).ids, self.type).tobytes() if x[0] else b"") + b"".join(map(ids_of, x[1:])) for x in cut]
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)

@@ -1,4 +1,4 @@
 """All queries of this folder and the SQL of those that SQL can express."""
 
-from pitfeat.llm import line_dedup, mixing, quality_rules, simhash, token_files, url_filter  # noqa: F401
+from pitfeat.llm import chunk_bpe, line_dedup, mixing, quality_rules, simhash, token_files, url_filter  # noqa: F401
 from pitfeat.llm.common import ORACLE, QUERIES  # noqa: F401
