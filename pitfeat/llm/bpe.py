@@ -1,7 +1,8 @@
 """Byte-level BPE by the tokenizers library, with the ids of frequent units kept by each Python worker.
 
-A space that is followed by a character other than white space starts a pre-token wherever it stands, so a text can be cut there and its parts
-encoded apart. The parts that a worker has not met yet are encoded together in one call and told apart by the byte lengths of their tokens.
+White space that is followed by another character starts a pre-token wherever it stands, so a text can be cut there and its parts encoded apart. So can
+a full stop or comma after a letter at the end of a part. Of the parts that a worker has not met yet, those of letters only are one pre-token each and go to
+the library's merges directly; the others are encoded together in one call and told apart by the byte lengths of their tokens. Texts with white space side by side are cut at fewer places; texts with special tokens are left to the library whole.
 """
 
 from __future__ import annotations
@@ -10,11 +11,15 @@ import json
 import os
 import re
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_UNITS, KEPT_CHARS = 300_000, 48
+KEPT_UNITS, KEPT_CHARS, AT_ONCE = 300_000, 48, 1 << 20
+
+_SIDE_BY_SIDE = re.compile(r"\s(?:\s|$)")
+_STOPS = ".,"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -23,6 +28,32 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def units(text: str) -> list[str]:
+    """What stands before the first cut, then what follows each: with its line feed where it was cut before one, without its space otherwise."""
+    if not _SIDE_BY_SIDE.search(text):
+        return text.replace("\n", " \n").split(" ")
+    parts = text.split(" ")
+    out = parts[:1]
+    for p in parts[1:]:
+        if p and not p[0].isspace():
+            out.append(p)
+        else:
+            out[-1] += " " + p
+    return out
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level tokens: visible Latin-1 characters for themselves, the rest from 256 on in order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+def _stem(unit: str) -> str | None:
+    """The unit without its full stop or comma, where that is a pre-token of its own."""
+    return unit[:-1] if len(unit) > 1 and unit[-1] in _STOPS and unit[-2] < "ɐ" and unit[-2].isalpha() else None
+
+
 class Encoder:
     """Encodes and decodes texts as the library's own calls do with add_special_tokens=False and skip_special_tokens=False."""
 
@@ -35,64 +66,71 @@ class Encoder:
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             special = [x["content"] for x in json.load(f)["added_tokens"]]
-        # texts with these strings are left to the library whole
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         vocabulary = self.tokenizer.get_vocab()
         self.type = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token has a character for each byte
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
+        self.stops = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, self.type).tobytes() for s in _STOPS}
+        self.alphabet = byte_alphabet()
         self.kept: dict[str, bytes] = {}
 
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """The text up to its first safe space, then what follows each safe space, up to the next."""
-        parts = text.split(" ")
-        if not _ODD.search(text):
-            return parts
-        out = parts[:1]
-        for p in parts[1:]:
-            if p and not p[0].isspace():
-                out.append(p)
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        stems = {u: s for u in new if (s := _stem(u))}
+        todo = {stems.get(u, u) for u in new} - self.kept.keys()
+        out, merges, kind = {}, self.tokenizer.model.tokenize, self.type
+        rest = []
+        for u in todo:
+            if u.isalpha() and max(u) < "ɐ":  # so that every version of the Unicode tables calls these letters
+                out[u] = np.array([x.id for x in merges((" " + u).encode().decode("latin-1").translate(self.alphabet))], kind).tobytes()
             else:
-                out[-1] += " " + p
+                rest.append(u)
+        if rest:
+            parts = [u if u[:1] == "\n" else " " + u for u in rest]
+            ids = np.array(self.tokenizer.encode("".join(parts), add_special_tokens=False).ids, kind)
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), list(accumulate(len(p.encode()) for p in parts))) + 1
+            data, a = ids.tobytes(), 0
+            for u, b in zip(rest, (ends * kind.itemsize).tolist()):
+                out[u] = data[a:b]
+                a = b
+        for u, s in stems.items():
+            out[u] = (out.get(s) or self.kept[s]) + self.stops[u[-1]]
         return out
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        ids = np.array(self.tokenizer.encode(" " + " ".join(new), add_special_tokens=False).ids, self.type)
-        ends = np.cumsum(self.lengths[ids])
-        cuts = np.searchsorted(ends, np.cumsum([1 + len(u.encode()) for u in new])) + 1
-        out, a = {}, 0
-        for u, b in zip(new, cuts.tolist()):
-            out[u] = ids[a:b].tobytes()
-            a = b
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of ``self.type``."""
-        whole = [bool(self.special and self.special.search(t)) for t in texts]
-        cut = [[t] if w else self.units(t) for t, w in zip(texts, whole)]
+    def _some(self, texts: list[str]) -> list[bytes]:
+        cut = [[t] if self.special and self.special.search(t) else units(t) for t in texts]
         if len(self.kept) > KEPT_UNITS:
             self.kept.clear()
-        new = list({u for x in cut for u in x[1:]} - self.kept.keys())
+        heads = [x.pop(0) for x in cut]
+        new = set().union(*cut) - self.kept.keys()
         known = self.kept
         if new:
             learnt = self._learn(new)
-            self.kept.update((u, ids) for u, ids in learnt.items() if len(u) <= KEPT_CHARS)
-            if any(len(u) > KEPT_CHARS for u in learnt):
-                known = self.kept | {u: ids for u, ids in learnt.items() if len(u) > KEPT_CHARS}
-        first = [x[0] for x in cut if x[0]]
-        heads = iter(self.tokenizer.encode_batch(first, add_special_tokens=False) if first else [])
+            if max(map(len, learnt)) > KEPT_CHARS:
+                known = self.kept | learnt
+                learnt = {u: ids for u, ids in learnt.items() if len(u) <= KEPT_CHARS}
+            self.kept.update(learnt)
+        first = [h for h in heads if h]
+        found = iter(self.tokenizer.encode_batch(first, add_special_tokens=False) if first else [])
         ids_of = known.__getitem__
-        return [(np.array(next(heads).ids, self.type).tobytes() if x[0] else b"") + b"".join(map(ids_of, x[1:])) for x in cut]
+        return [(np.array(next(found).ids, self.type).tobytes() if h else b"") + b"".join(map(ids_of, x)) for h, x in zip(heads, cut)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian numbers of ``self.type``; about ``AT_ONCE`` characters at a time."""
+        out, some, held = [], [], 0
+        for t in texts:
+            some.append(t)
+            held += len(t)
+            if held >= AT_ONCE:
+                out += self._some(some)
+                some, held = [], 0
+        return out + self._some(some) if some else out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 
 
-_ODD = re.compile(r" (?:\s|$)")
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One per Python worker and file."""
