@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,7 +30,7 @@ from pitfeat.llm.bpe import encoder, vocabulary_path
 from pitfeat.llm.common import documents, pieces, query
 
 CHUNK_BITS, LEAST_CHUNK, WINDOW = 10, 256, 32
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 32 << 20
+GROUP_BYTES, BUCKET_BYTES, LEVEL = 16 << 20, 32 << 20, 9
 REQUEST, RECIPE = 0, 1
 
 _GEAR = np.random.default_rng(7).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -79,11 +80,11 @@ def bodies(data: bytes, starts: list[int], ends: list[int]) -> list[list[tuple[i
 
 
 def _pack(things) -> bytes:
-    return pa.compress(data := pickle.dumps(things, 5), codec="zstd", asbytes=True) + len(data).to_bytes(8, "little")
+    return zstandard.ZstdCompressor(LEVEL).compress(pickle.dumps(things, 5))
 
 
 def _unpack(data: bytes):
-    return pickle.loads(pa.decompress(data[:-8], int.from_bytes(data[-8:], "little"), codec="zstd", asbytes=True))
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
 def _rows(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
