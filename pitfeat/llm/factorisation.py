@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pitfeat.llm.common import crc_mod, documents, query
 
@@ -148,7 +148,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             p = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("input"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["input", "score", "predicted"])
 
-    return rows.mapInArrow(run, f"input {rows.schema['input'].dataType.simpleString()}, score double, predicted int")
+    return rows.mapInArrow(run, T.StructType([rows.schema["input"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
 @query("op6_factorisation")

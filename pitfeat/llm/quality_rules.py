@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from pitfeat.llm.common import documents, query
 
@@ -126,8 +126,8 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
             made = [*(pa.array(n[:, k]) for k in range(5)), pa.array(failed), pa.array(mean), pa.array(~failed & (mean >= least))]
             yield pa.RecordBatch.from_arrays([batch.column("input"), *made], ["input", *MADE])
 
-    kind = ", ".join(f"{c} {'boolean' if c in ('base_failed', 'kept') else 'double' if c == 'ratio' else 'long'}" for c in MADE)
-    return rows.mapInArrow(score, f"input {rows.schema['input'].dataType.simpleString()}, {kind}")
+    kinds = {"base_failed": T.BooleanType(), "kept": T.BooleanType(), "ratio": T.DoubleType()}
+    return rows.mapInArrow(score, T.StructType([rows.schema["input"], *(T.StructField(c, kinds.get(c, T.LongType())) for c in MADE)]))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from pitfeat.llm.common import documents, pieces, query
 from pitfeat.session import durable
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
             fp = np.array([fingerprint(t) for t in batch.column(text_col).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(fp)], [*others, "fp"])
 
-    return docs.mapInArrow(add, ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others), "fp long"]))
+    return docs.mapInArrow(add, T.StructType([*(docs.schema[c] for c in others), T.StructField("fp", T.LongType())]))
 
 
 def _remainder(x: int) -> int:
