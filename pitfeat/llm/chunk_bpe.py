@@ -184,7 +184,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         yield from done()
 
     shape = "bucket long, g long, kind int, block binary"
-    asked = rows.mapInArrow(ask, shape).repartition(buckets, "bucket")
+    asked = rows.mapInArrow(ask, shape).repartitionById(buckets, F.col("bucket").cast("int"))
     met = asked.mapInArrow(answer, shape).repartition(buckets, "g").sortWithinPartitions("g")
     return met.mapInArrow(join, "key long, n_tokens long, ids binary" + ", decoded string" * decode)
 
