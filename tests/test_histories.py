@@ -134,3 +134,19 @@ def test_stakes_in_blocks(matches):
         part = events[events["day"] == e.day]
         bank += (bank * part["fraction"] * part["unit_profit"]).sum()
         assert abs(e.bankroll - bank) < 1e-6
+
+
+@pytest.mark.parametrize("hot_rows", [3, HOT_ROWS])
+@pytest.mark.parametrize("who", ["a", None])
+def test_counts_with_repeated_ties_and_null_entities(spark, hot_rows, who):
+    rows = spark.createDataFrame([(who, dt.datetime(2020, 1, 1) + dt.timedelta(days=k), k % 2, 1.0) for k in range(12)], "who string, day timestamp_ntz, id long, x double")
+    got = pit_features(rows, **KEYS, windows=[], hot_rows=hot_rows).orderBy("day").collect()
+    assert [r["count_365d"] for r in got] == list(range(12)) and [r["ordinal"] for r in got] == list(range(12))
+    now = pit_features(rows, **KEYS, windows=[], horizons=[3], anchor="current", hot_rows=hot_rows).orderBy("day").collect()
+    assert [r["count_3d"] for r in now] == [0, 1, *[2] * 10]
+
+
+def test_counts_within_a_long_dense_history_are_linear(spark):
+    rows = spark.range(80_000).select(F.lit("a").alias("who"), (F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id"))).alias("day"), "id")
+    got = pit_features(rows, **KEYS, windows=[]).agg(F.max("count_365d"), F.sum("count_365d")).first()
+    assert tuple(got) == (79_999, 80_000 * 79_999 // 2)
