@@ -2,7 +2,7 @@
 
 White space that is followed by another character starts a pre-token wherever it stands, so a text can be cut there and its parts encoded apart. So can
 a full stop or comma after a letter at the end of a part. Of the parts that a worker has not met yet, those of letters only are one pre-token each and go to
-the library's merges directly; the others are encoded together in one call and told apart by the byte lengths of their tokens. Texts with white space side by side are cut at fewer places; texts with special tokens are left to the library whole.
+the library's merges directly. Texts with white space side by side are cut at fewer places; texts with special tokens are left to the library whole.
 """
 
 from __future__ import annotations
@@ -11,13 +11,12 @@ import json
 import os
 import re
 from functools import lru_cache
-from itertools import accumulate
-from struct import pack
+from struct import Struct
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_UNITS, KEPT_CHARS, AT_ONCE = 900_000, 48, 1 << 20
+KEPT_UNITS, KEPT_CHARS = 900_000, 48
 
 _SIDE_BY_SIDE = re.compile(r"\s(?:\s|$)")
 _STOPS = ".,"
@@ -55,6 +54,37 @@ def _stem(unit: str) -> str | None:
     return unit[:-1] if len(unit) > 1 and unit[-1] in _STOPS and unit[-2] < "ɐ" and unit[-2].isalpha() else None
 
 
+class _Known(dict):
+    """Ids of units; one that is missing is encoded, and kept unless it is long."""
+
+    def __init__(self, tokenizer, kind: np.dtype) -> None:
+        self.encode, self.merges, self.kind = tokenizer.encode, tokenizer.model.tokenize, kind
+        self.code = "H" if kind.itemsize == 2 else "I"
+        self.forms = [Struct(f"<{n}{self.code}") for n in range(64)]
+        self.alphabet = byte_alphabet()
+        self.space = self.alphabet[0x20]
+        self.marks = {c: self.packed(tokenizer.encode(c, add_special_tokens=False).ids) for c in _STOPS + "\n"}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return (self.forms[len(ids)] if len(ids) < len(self.forms) else Struct(f"<{len(ids)}{self.code}")).pack(*ids)
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit.isalpha() and (unit.isascii() or max(unit) < "ɐ"):  # so that every version of the Unicode tables calls these letters
+            ids = self.packed([x.id for x in self.merges(self.space + (unit if unit.isascii() else self.mapped(unit)))])
+        elif stem := _stem(unit):
+            ids = self[stem] + self.marks[unit[-1]]
+        elif unit[:1] == "\n" and unit[1:].isalpha() and max(unit) < "ɐ":
+            ids = self.marks["\n"] + self.packed([x.id for x in self.merges(self.mapped(unit[1:]))])
+        else:
+            ids = self.packed(self.encode(unit if unit[:1] == "\n" else " " + unit, add_special_tokens=False).ids)
+        if len(unit) <= KEPT_CHARS:
+            self[unit] = ids
+        return ids
+
+    def mapped(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.alphabet)
+
+
 class Encoder:
     """Encodes and decodes texts as the library's own calls do with add_special_tokens=False and skip_special_tokens=False."""
 
@@ -73,63 +103,28 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token has a character for each byte
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
-        self.stops = {s: np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, self.type).tobytes() for s in _STOPS}
-        self.alphabet = byte_alphabet()
-        self.kept: dict[str, bytes] = {}
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        stems = {u: s for u in new if (s := _stem(u))}
-        todo = {stems.get(u, u) for u in new} - self.kept.keys()
-        out, merges, kind = {}, self.tokenizer.model.tokenize, self.type
-        space, code = self.alphabet[0x20], "H" if kind.itemsize == 2 else "I"
-        rest = []
-        for u in todo:
-            if u.isalpha() and (u.isascii() or max(u) < "ɐ"):  # so that every version of the Unicode tables calls these letters
-                plain = space + (u if u.isascii() else u.encode().decode("latin-1").translate(self.alphabet))
-                ids = [x.id for x in merges(plain)]
-                out[u] = pack(f"<{len(ids)}{code}", *ids)
-            else:
-                rest.append(u)
-        if rest:
-            parts = [u if u[:1] == "\n" else " " + u for u in rest]
-            ids = np.array(self.tokenizer.encode("".join(parts), add_special_tokens=False).ids, kind)
-            ends = np.searchsorted(np.cumsum(self.lengths[ids]), list(accumulate(len(p.encode()) for p in parts))) + 1
-            data, a = ids.tobytes(), 0
-            for u, b in zip(rest, (ends * kind.itemsize).tolist()):
-                out[u] = data[a:b]
-                a = b
-        for u, s in stems.items():
-            out[u] = (out.get(s) or self.kept[s]) + self.stops[u[-1]]
-        return out
+        self.known = _Known(self.tokenizer, self.type)
 
-    def _some(self, texts: list[str]) -> list[bytes]:
-        cut = [[t] if self.special and self.special.search(t) else units(t) for t in texts]
-        if len(self.kept) > KEPT_UNITS:
-            self.kept.clear()
-        heads = [x.pop(0) for x in cut]
-        new = set().union(*cut) - self.kept.keys()
-        known = self.kept
-        if new:
-            learnt = self._learn(new)
-            if max(map(len, learnt)) > KEPT_CHARS:
-                known = self.kept | learnt
-                learnt = {u: ids for u, ids in learnt.items() if len(u) <= KEPT_CHARS}
-            self.kept.update(learnt)
-        first = [h for h in heads if h]
-        found = iter(self.tokenizer.encode_batch(first, add_special_tokens=False) if first else [])
-        ids_of = known.__getitem__
-        return [(np.array(next(found).ids, self.type).tobytes() if h else b"") + b"".join(map(ids_of, x)) for h, x in zip(heads, cut)]
+    def _plain(self, text: str) -> bytes:
+        return self.known.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _one(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if self.special and self.special.search(text):
+            return self._plain(text)
+        parts = units(text)
+        head = parts.pop(0)
+        return (self._plain(head) if head else b"") + b"".join(map(self.known.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of ``self.type``; about ``AT_ONCE`` characters at a time."""
-        out, some, held = [], [], 0
-        for t in texts:
-            some.append(t)
-            held += len(t)
-            if held >= AT_ONCE:
-                out += self._some(some)
-                some, held = [], 0
-        return out + self._some(some) if some else out
+        """Ids of each text as little-endian numbers of ``self.type``."""
+        out = []
+        for text in texts:
+            if len(self.known) > KEPT_UNITS:
+                self.known.clear()
+            out.append(self._one(text))
+        return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
