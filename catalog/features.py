@@ -73,7 +73,7 @@ def between_dates_query(spark, d):
     return between_dates(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", dt.datetime(1997, 1, 1), dt.datetime(1999, 1, 1))
 
 
-@query("sample_n")
+@query("sample_n", "select * from orders order by md5('42|' || o_orderkey), o_orderkey limit 500")
 def sample_n_query(spark, d):
     return sample_n(table(spark, d, "orders"), 500, 42, "o_orderkey")
 

@@ -70,6 +70,30 @@ def pit_event_counts(spark, d):
     return out.select("event_id", "count_7d")
 
 
+# Lines of a part by ship date: the tie repeats and a fifth of the parts is unknown; equal rows are numbered, whichever comes first.
+BY_TIE = "partition by part order by day, tie"
+SQL_TIED = f"""with h as (select case when l_partkey % 5 <> 0 then l_partkey end as part, l_shipdate as day, l_linenumber % 2 as tie from lineitem)
+select part, day, tie::bigint as tie, count_90d, count(*) as n from (select *, row_number() over ({BY_TIE}) - 1
+  - count(*) over (partition by part order by day range between unbounded preceding and interval 90 day preceding) as count_90d from h) group by all"""
+
+
+def _tied(spark, d, **more):
+    rows = table(spark, d, "lineitem").select(F.when(F.col("l_partkey") % 5 != 0, F.col("l_partkey")).alias("part"), F.col("l_shipdate").alias("day"), (F.col("l_linenumber") % 2).alias("tie"))
+    out = pit_features(rows, ["part"], "day", ["tie"], windows=[], horizons=[90], anchor="current", **more)
+    return rounded(out.groupBy("part", "day", "tie", "count_90d").agg(F.count("*").alias("n")))
+
+
+@query("pit_count_repeated_tie", SQL_TIED)
+def pit_count_repeated_tie(spark, d):
+    return _tied(spark, d)
+
+
+@query("pit_count_null_entity", SQL_TIED)
+def pit_count_null_entity(spark, d):
+    """The unknown parts share one history, which is cut into blocks here."""
+    return _tied(spark, d, hot_rows=1000)
+
+
 @query("entity_ordinal", "select event_id, row_number() over (partition by user_id order by ts, event_id) - 1 as ordinal from events")
 def entity_ordinal(spark, d):
     return ordinal(table(spark, d, "events"), ["user_id"], ["ts", "event_id"]).select("event_id", "ordinal")

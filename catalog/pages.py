@@ -8,7 +8,9 @@ from catalog.base import SQL_SIDES, query, rounded, sides, table
 from pitfeat.sources.pages import CELL_POSITION, extract_links, extract_listing, extract_match_stats, union_distinct
 from pitfeat.operators.clean import first_n
 
-LINKS = "select page_id, unnest(regexp_extract_all(html, 'href\\s*=\\s*\"([^\"]*)\"', 1, 'i')) as l from pages"
+# anchors of either quoting in these pages
+LINKS = r"""select page_id, replace(coalesce(nullif(regexp_extract(t, 'href="([^"]*)"', 1, 'i'), ''), regexp_extract(t, 'href=''([^'']*)''', 1, 'i')), '&amp;', '&') as l
+  from (select page_id, unnest(regexp_extract_all(html, '<a\s[^>]*>', 0, 'i')) as t from pages) where regexp_matches(t, '\shref=', 'i')"""
 
 
 @query("page_links", f"select distinct page_id, rtrim(trim(l), '/') as link from ({LINKS})")
@@ -27,11 +29,20 @@ def page_links_union(spark, d):
     return union_distinct([extract_links(pages, m).select("link") for m in ("en", "th")], "link")
 
 
-@query("page_listing", """select o_orderkey, 'http://x/' || o_orderkey as event_url, strftime(o_orderdate, '%Y-%m-%d') as event_date, o_orderpriority || ' & more' as title from orders where o_orderstatus <> 'P'""")
+@query("page_links_known", """select o_orderkey, 'http://x/m?a=' || o_orderkey || '&b=é' as link from orders union all select o_orderkey, 'http://y/' || o_orderkey from orders
+  union all select o_orderkey, 'z' || o_orderkey from orders""")
+def page_links_known(spark, d):
+    """Pages written with anchors of all three quotings, a style sheet link, an anchor without an address, and named and numeric characters."""
+    html = F.concat(F.lit('<link href="http://css/m"><a name="m">x</a><A class="k" HREF=" http://x/m?a='), "o_orderkey", F.lit("&amp;b=&#233; \">1</A><a\nhref='http://y/"), "o_orderkey",
+                    F.lit("/'>2</a><a id=i href=z"), "o_orderkey", F.lit(' title="href=">3</a><a data-href="no">4</a>'))
+    return extract_links(table(spark, d, "orders").select("o_orderkey", html.alias("html")), None, "o_orderkey")
+
+
+@query("page_listing", """select o_orderkey, 'http://x/' || o_orderkey as event_url, strftime(o_orderdate, '%Y-%m-%d') as event_date, o_orderpriority || ' & é“ more' as title from orders where o_orderstatus <> 'P'""")
 def page_listing(spark, d):
     """A listing row per order written as a page; orders in state P lack the date."""
-    row = F.concat(F.lit('<table><tr class="head"><th>x</th></tr><tr class="wide b-statistics__table-row">\n<td><i><a  href=" http://x/'), "o_orderkey", F.lit('/ " class="k">\n  <b>'),
-                   "o_orderpriority", F.lit("</b> &amp; more </a><span class=d> "), F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "MMMM d, yyyy")), F.lit(" </span></td></tr></table>"))
+    row = F.concat(F.lit('<table><tr class="head"><th>x</th></tr><tr class="wide b-statistics__table-row">\n<td><a name="top">no</a><i><a  href=" http://x/'), "o_orderkey", F.lit('/ " class="k">\n  <b>'),
+                   "o_orderpriority", F.lit("</b> &amp; &eacute;&#x201C; more </a><span class=d> "), F.when(F.col("o_orderstatus") == "P", "soon").when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "EEEE, MMM. d, yyyy")).otherwise(F.date_format("o_orderdate", "d MMMM yyyy")), F.lit(" </span></td></tr></table>"))
     pages = table(spark, d, "orders").select("o_orderkey", row.alias("html"))
     return extract_listing(pages, "o_orderkey").drop("position")
 

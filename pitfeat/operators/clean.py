@@ -122,8 +122,8 @@ def between_dates(df: DataFrame, ts: str, start, end) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, seed: int, *keys: str) -> DataFrame:
-    """A repeatable sample of ``n`` rows: the smallest seeded hashes of the keys."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """A repeatable sample of ``n`` rows: those whose seed and keys, joined as text, have the smallest md5."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
 
 
 def with_columns(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:

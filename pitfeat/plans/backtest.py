@@ -71,14 +71,15 @@ def walk_forward_backtest(df: DataFrame, cfg: Setup, calendar: Sequence[tuple],
     Per fold: impute on the train part, fit candidates on its first 90 %, calibrate and tune the stake policy on its
     last 10 % under the same event limits as the test part, bet on the test part.
     """
-    rows = time_index(binary_only(df, cfg.y), [cfg.ts, cfg.key], "_idx")
+    # rows without a time have no place in the order; the rows are fixed once, as all folds and fits read them
+    rows = durable(time_index(binary_only(df, cfg.y).where(F.col(cfg.ts).isNotNull()), [cfg.ts, cfg.key], "_idx"))
     per_fold, bets = [], []
     for fold, start, end in usable_folds(rows, cfg.ts, calendar, min_train, keep_folds):
         train = rows.where(F.col(cfg.ts) < F.lit(start))
         test = rows.where((F.col(cfg.ts) >= F.lit(start)) & (F.col(cfg.ts) < F.lit(end)))
         imputer = GroupImputer(inputCols=list(cfg.features), indicators=False).fit(train)
         cut = int(train.count() * 0.9)
-        ready = imputer.transform(train)
+        ready = durable(imputer.transform(train))
         model, calibrator, tail = choose_model(ready.where(F.col("_idx") < cut), ready.where(F.col("_idx") >= cut), cfg)
         policy = tune_policy(_as_bets(tail, cfg), cfg.grid, cfg.objective, cfg.event, cfg.max_exposure, DEFAULT_POLICY)
         scored = calibrator.apply(with_prob(imputer.transform(test), model, "_raw"), "_raw", "p", cfg.segment)

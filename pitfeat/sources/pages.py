@@ -5,10 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping
 from functools import reduce
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitfeat.functions.text import norm_key, split_x_of_y, strip
+from pitfeat.operators.aggregates import dedupe_first
 
 # Tags and classes the stored pages use, and where each figure of a match page stands.
 LISTING_ROW = ("tr", "b-statistics__table-row")
@@ -20,18 +22,37 @@ CELL_POSITION = {"knockdowns": 2, "sig_strikes": 4, "total_strikes": 8, "takedow
 PAIR_CELLS = ["sig_strikes", "total_strikes", "takedown"]
 MATCH_MARKER = "fight-details"
 
-# Named characters of page text, the ampersand last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# Spellings of dates in listings, after weekdays, ordinal endings, full stops and commas are taken out.
+DATE_FORMATS = ["MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-M-d", "yyyy/M/d", "M/d/yyyy"]
 
-# Date spellings accepted in listings.
-DATE_FORMATS = ["MMMM d, yyyy", "MMM d, yyyy", "MMM. d, yyyy", "yyyy-MM-dd"]
+# A link's address: quoted either way, or bare.
+HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
+def decoded(text: Column) -> Column:
+    """Named and numeric characters of page text as themselves; unknown names stay."""
+    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))], F.lit("apos"), F.lit("'"))
+
+    def one(part: Column) -> Column:
+        body = F.substring_index(F.substring(part, 2, 40), ";", 1)
+        number = F.when(body.rlike("^#[0-9]{1,7}$"), F.conv(F.substring(body, 2, 9), 10, 16)).when(body.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.substring(body, 3, 9))
+        point = F.conv(number, 16, 10).cast("long")
+        fits = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        char = F.when(fits, F.decode(F.unhex(F.lpad(number, 8, "0")), "UTF-32"))
+        return F.when(part.startswith("&"), F.coalesce(char, F.try_element_at(names, body), part)).otherwise(part)
+
+    parts = F.regexp_extract_all(text, F.lit(r"&#?[0-9A-Za-z]+;|[^&]+|&"), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(text)
 
 
 def text_of(html: Column) -> Column:
-    """Text of a page fragment: tags out, named characters in, trimmed."""
-    bare = F.regexp_replace(html, "(?s)<[^>]*>", "")
-    named = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES, bare)
-    return F.regexp_replace(named, "^[\\s ]+|[\\s ]+$", "")
+    """Text of a page fragment: tags out, named and numeric characters in, trimmed (no-break spaces too)."""
+    return F.regexp_replace(decoded(F.regexp_replace(html, "(?s)<[^>]*>", "")), "^[\\s\u00a0]+|[\\s\u00a0]+$", "")
+
+
+def link_of(tag: Column) -> Column:
+    """The address in an anchor's opening tag."""
+    return decoded(F.concat(*[F.regexp_extract(tag, HREF, k) for k in (1, 2, 3)]))
 
 
 def elements(html: Column, tag: str, css_class: str | None = None) -> Column:
@@ -41,31 +62,35 @@ def elements(html: Column, tag: str, css_class: str | None = None) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in DATE_FORMATS]).cast("date")
+    plain = F.regexp_replace(c, r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\b", " ")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1"), r"(?i)\bsept\b", "Sep")
+    plain = F.btrim(F.regexp_replace(plain, r"[.,\s]+", " "))
+    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in DATE_FORMATS], F.try_to_timestamp(c)).cast("date")
 
 
 def extract_listing(pages: DataFrame, page: str = "page_id", html: str = "html", row: tuple[str, str | None] = LISTING_ROW) -> DataFrame:
-    """Listed events: link, title and date of each row of a listing page; rows lacking any of them are dropped."""
+    """Listed events: link and title of the first anchor with a link, and the date, of each row of a listing page; rows lacking any of them are dropped."""
     rows = pages.select(F.col(page), F.posexplode(elements(F.col(html), *row)).alias("position", "_row"))
-    link = F.regexp_extract("_row", r"(?is)<a\b[^>]*\bhref\s*=\s*[\"']([^\"']*)[\"']", 1)
-    title = text_of(F.regexp_extract("_row", r"(?is)<a\b[^>]*>(.*?)</a\s*>", 1))
+    anchor = F.regexp_extract("_row", HREF + r"[^>]*>.*?</a\s*>", 0)
+    title = text_of(F.regexp_extract(anchor, r"(?is)<a\b[^>]*>(.*?)</a\s*>", 1))
     day = parse_date(text_of(F.regexp_extract("_row", r"(?is)<span\b[^>]*>(.*?)</span\s*>", 1)))
-    found = rows.select(page, "position", norm_key(link).alias("event_url"), F.date_format(day, "yyyy-MM-dd").alias("event_date"), title.alias("title"))
+    found = rows.select(page, "position", norm_key(link_of(anchor)).alias("event_url"), F.date_format(day, "yyyy-MM-dd").alias("event_date"), title.alias("title"))
     return found.where((F.col("event_url") != "") & (F.col("title") != "") & F.col("event_date").isNotNull())
 
 
 def extract_links(pages: DataFrame, marker: str | None = MATCH_MARKER, page: str = "page_id", html: str = "html") -> DataFrame:
-    """Distinct links per page that contain the marker text, cleaned as keys."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"(?i)href\s*=\s*\"([^\"]*)\""), F.lit(1))
-    links = pages.select(page, F.explode(found).alias("_l")).select(page, norm_key(F.col("_l")).alias("link"))
+    """Distinct links of a page's anchors that contain the marker text, cleaned as keys."""
+    tags = pages.select(page, F.explode(F.regexp_extract_all(F.col(html), F.lit(HREF), F.lit(0))).alias("_tag"))
+    links = tags.select(page, norm_key(link_of(F.col("_tag"))).alias("link"))
     if marker is not None:
         links = links.where(F.col("link").contains(marker))
     return links.distinct()
 
 
 def union_distinct(frames: list[DataFrame], key: str) -> DataFrame:
-    """Union of extracts, one row per key."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).dropDuplicates([key])
+    """Union of extracts, one row per key: of the first extract that has it, the smallest row."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.withColumn("_from", F.lit(i)) for i, f in enumerate(frames)])
+    return dedupe_first(every, [key], ["_from", *[c for c in every.columns if c not in (key, "_from")]]).drop("_from")
 
 
 def extract_match_stats(pages: DataFrame, url: str = "url", html: str = "html", cells: Mapping[str, int] = CELL_POSITION) -> DataFrame:

@@ -22,11 +22,10 @@ def poll_quotes(spark: SparkSession, folder: str) -> DataFrame:
     return flatten_price_feed(spark.readStream.schema("json string").text(folder), "json")
 
 
-def upsert_stream(quotes: DataFrame, root: str, checkpoint: str, keys: Sequence[str] = tuple(QUOTE_KEY), position: str | None = "book_last_update") -> StreamingQuery:
+def upsert_stream(quotes: DataFrame, root: str, checkpoint: str, keys: Sequence[str] = tuple(QUOTE_KEY), position: str = "book_last_update") -> StreamingQuery:
     """Fold all batches that are there into the stored table, then stop."""
     def fold(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            rows = batch.withColumn("_at", batch[position]) if position else batch
-            upsert_table(batch.sparkSession, root, rows, list(keys), "_at" if position else None)
+            upsert_table(batch.sparkSession, root, batch.withColumn("_at", batch[position]), list(keys), "_at")
 
     return quotes.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
