@@ -16,7 +16,7 @@ from struct import Struct
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
-KEPT_UNITS, KEPT_CHARS = 900_000, 48
+KEPT_UNITS, KEPT_CHARS = 250_000, 48
 
 _SIDE_BY_SIDE = re.compile(r"\s(?:\s|$)")
 _STOPS = ".,"
@@ -88,7 +88,7 @@ class _Known(dict):
 class Encoder:
     """Encodes and decodes texts as the library's own calls do with add_special_tokens=False and skip_special_tokens=False."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -103,6 +103,7 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token has a character for each byte
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
+        self.most = most
         self.known = _Known(self.tokenizer, self.type)
 
     def _plain(self, text: str) -> bytes:
@@ -121,7 +122,7 @@ class Encoder:
         """Ids of each text as little-endian numbers of ``self.type``."""
         out = []
         for text in texts:
-            if len(self.known) > KEPT_UNITS:
+            if len(self.known) > self.most:
                 self.known.clear()
             out.append(self._one(text))
         return out
@@ -131,6 +132,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per Python worker and file."""
-    return Encoder(path)
+def encoder(path: str, most: int = KEPT_UNITS) -> Encoder:
+    """One per Python worker and file, which keeps the ids of up to ``most`` units."""
+    return Encoder(path, most)

@@ -27,9 +27,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pitfeat.llm.bpe import encoder, vocabulary_path
-from pitfeat.llm.common import documents, pieces, query
+from pitfeat.llm.common import documents, pieces, query, small
 
-CHUNK_BITS, LEAST_CHUNK, WINDOW = 10, 256, 32
+CHUNK_BITS, LEAST_CHUNK, WINDOW, SLICE = 10, 256, 32, 1 << 20
 GROUP_BYTES, BUCKET_BYTES, LEVEL = 16 << 20, 32 << 20, 9
 REQUEST, RECIPE = 0, 1
 
@@ -43,17 +43,21 @@ _FOLLOWS[0xE4:] = True
 
 def cut_points(data: np.ndarray) -> np.ndarray:
     """Positions whose last ``WINDOW`` bytes hash to 0 in the top ``CHUNK_BITS`` bits."""
-    h = _GEAR[data]
-    step = 1
-    while step < WINDOW:
-        longer = h.copy()
-        longer[step:] += h[:-step] << np.uint32(step)
-        h, step = longer, 2 * step
-    return np.flatnonzero(h >> np.uint32(32 - CHUNK_BITS) == 0) + 1
+    found = []
+    for a in range(0, len(data), SLICE):
+        start = max(0, a - WINDOW)
+        h, step = _GEAR[data[start:a + SLICE]], 1
+        while step < WINDOW:
+            longer = h.copy()
+            longer[step:] += h[:-step] << np.uint32(step)
+            h, step = longer, 2 * step
+        found.append(a + np.flatnonzero(h[a - start:] >> np.uint32(32 - CHUNK_BITS) == 0) + 1)
+    return np.concatenate(found)
 
 
 def safe_spaces(data: np.ndarray) -> np.ndarray:
-    return np.flatnonzero((data[:-1] == 0x20) & _FOLLOWS[data[1:]])
+    at = np.flatnonzero(data[:-1] == 0x20)
+    return at[_FOLLOWS[data[at + 1]]]
 
 
 def bodies(data: bytes, starts: list[int], ends: list[int]) -> list[list[tuple[int, int]]]:
@@ -138,7 +142,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, n = encoder(path), TaskContext.get().partitionId(), 0
         keys, texts, held = [], [], 0
-        for batch in batches:
+        for batch in small(batches):
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 keys.append(key)
                 texts.append((text or "").encode())

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The white space of all contracts here: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -41,6 +44,13 @@ def crc_mod(c: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(c).cast("string") if isinstance(c, str) else c.cast("string")) % n, F.lit(0))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that no more than a slice of texts is held as Python objects."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def pieces(df: DataFrame, each: int) -> int:
     """Partitions of about ``each`` bytes for a stored table, by the size its plan states; at least the session's number, also where the size is unknown."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pitfeat.llm.common import crc_mod, documents, query
+from pitfeat.llm.common import crc_mod, documents, query, small
 
 WORDS, RANK, SEED = 1 << 14, 8, 5
 SAMPLE = 2000
@@ -142,10 +142,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     rows = docs.select(F.struct("*").alias("input"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            found = [model.score(texts[k:k + 256]) for k in range(0, len(texts), 256)]
-            p = np.concatenate(found) if found else np.zeros(0)
+        for batch in small(batches, 256):
+            p = model.score([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("input"), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["input", "score", "predicted"])
 
     return rows.mapInArrow(run, T.StructType([rows.schema["input"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pitfeat.llm.common import documents, query
+from pitfeat.llm.common import documents, query, small
 
 GRAM, BUCKETS, UNIT = 4, 1 << 16, 1 << 20
 LEAST = -0.4
@@ -79,7 +79,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", te
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, BUCKETS), np.int64)
-        for batch in batches:
+        for batch in small(batches):
             for text, good in zip(_texts(batch), batch.column("good").to_pylist()):
                 found = np.bincount(grams(text.encode()), minlength=BUCKETS)
                 sums[1] += found
@@ -114,7 +114,7 @@ def judge(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.struct("*").alias("input"), F.col(text_col).alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             base, ratio = [], []
             for text in _texts(batch):
                 base.append(counts(text))

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pitfeat.llm.common import documents, pieces, query
+from pitfeat.llm.common import documents, pieces, query, small
 from pitfeat.session import durable
 
 SHINGLE, SEED, BITS = 4, 42, 4
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     others = [c for c in docs.columns if c != text_col]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             fp = np.array([fingerprint(t) for t in batch.column(text_col).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(fp)], [*others, "fp"])
 

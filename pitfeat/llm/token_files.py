@@ -26,11 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pitfeat.llm.bpe import encoder, vocabulary_path
-from pitfeat.llm.common import documents, pieces, query, whole
+from pitfeat.llm.common import documents, pieces, query, small, whole
 from pitfeat.session import durable, shared_dir
 
 MAGIC = b"TOKIDS01"
 SHARD_BYTES, READ_IDS, END_ID = 64 << 20, 1 << 20, 0
+KEPT_UNITS = 900_000  # per Python worker, some 200 MB
 LOAD, LEVELS = 1.6, 64
 
 
@@ -190,9 +191,9 @@ def write_tokens(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        name, writer, enc = f"{folder}/shard-{shard:08d}-{uuid.uuid4().hex}.tok", None, encoder(path)
+        name, writer, enc = f"{folder}/shard-{shard:08d}-{uuid.uuid4().hex}.tok", None, encoder(path, KEPT_UNITS)
         end = np.array([end_id], enc.type).tobytes()
-        for batch in batches:
+        for batch in small(batches):
             if batch.num_rows:
                 writer = writer or ShardWriter(name, enc.type.itemsize)
                 for key, ids in zip(batch.column("key").to_pylist(), enc.encode(batch.column("text").to_pylist())):
