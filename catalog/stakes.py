@@ -140,6 +140,17 @@ scored as (select policy, min_edge, cap, multiplier, p_min, sum(fr) as w, sum(fr
 GRID_COLS = "policy, min_edge, cap, multiplier, p_min, round(w, 5) as total_wager, round(gain, 5) + 0.0 as total_profit, n_bets, round(case when w > 0 then gain / w else -1e9 end, 6) as roi, round(case when w > 0 then m / (sd + 1e-9) else -1e9 end, 6) as sharpe"
 
 
+# Only the first three bets of a policy on a day count.
+GRID_LIMITED = GRID.replace("h as (select *, f0 *", """k as (select * exclude (f0), case when f0 > 0 and count(*) filter (where f0 > 0) over (partition by policy, o_orderdate order by {order} rows unbounded preceding) > 3 then 0 else f0 end as f0 from f),
+h as (select *, f0 *""".format(order=SQL_PRICED_ORDER)).replace("from f),\nscored", "from k),\nscored").replace("e as (select o_orderdate, p,", f"e as (select o_orderdate, {SQL_PRICED_ORDER}, p,")
+
+
+@query("policy_grid_limited", f"with {GRID_LIMITED} select {GRID_COLS} from scored")
+def policy_grid_limited(spark, d):
+    out = s.policy_scores(priced(spark, d), event="o_orderdate", max_exposure=0.2, max_bets=3, order=PRICED_ORDER)
+    return rounded(out.withColumns({"total_wager": F.round("total_wager", 5), "total_profit": F.round("total_profit", 5)}))
+
+
 def _grid(spark, d):
     out = s.policy_scores(priced(spark, d), event="o_orderdate", max_exposure=0.2)
     return rounded(out.withColumns({"total_wager": F.round("total_wager", 5), "total_profit": F.round("total_profit", 5)}))

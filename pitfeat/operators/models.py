@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -12,14 +13,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pitfeat.functions.numbers import argmax_class, renormalise
 from pitfeat.operators import metrics
 from pitfeat.operators.aggregates import best_by, with_class_weight
 from pitfeat.operators.calibrate import Platt
 from pitfeat.operators.clean import align
+from pitfeat.operators.features import GroupImputerModel
 from pitfeat.operators.splits import ts_cv
+from pitfeat.session import durable
 
 Trainer = Callable[[DataFrame], PipelineModel]
 
@@ -64,8 +67,8 @@ def tree_params(params: Mapping[str, object], n_features: int) -> dict:
 
 
 def fit_trees(df: DataFrame, features: Sequence[str], y: str, val_col: str | None = None, weight: str | None = None, seed: int = 42, **params) -> PipelineModel:
-    """Boosted trees; with ``val_col`` (true on validation rows) boosting stops once validation loss stops falling."""
-    gbt = GBTClassifier(labelCol=y, featuresCol="_features", seed=seed, **{"maxIter": 40, "maxDepth": 4, "stepSize": 0.1, **tree_params(params, len(features))})
+    """Boosted trees; with ``val_col`` (true on validation rows) boosting stops once validation loss stops falling, so the rounds are then only an upper bound."""
+    gbt = GBTClassifier(labelCol=y, featuresCol="_features", seed=seed, **{"maxIter": 500 if val_col else 100, "maxDepth": 4, "stepSize": 0.1, **tree_params(params, len(features))})
     if val_col:
         gbt = gbt.setValidationIndicatorCol(val_col)
     if weight:
@@ -136,7 +139,7 @@ def fit_oof_stack(df: DataFrame, trainers: Mapping[str, Trainer], y: str, order:
 
     Base models are then fitted again on all rows.
     """
-    folded = ts_cv(df, order, k, "_fold")
+    folded = durable(ts_cv(df, order, k, "_fold"))
     folds = range(1, k + 1)
 
     def fold(j: int) -> DataFrame:
@@ -162,23 +165,31 @@ def sample_params(space: Mapping[str, Sequence], trials: int, seed: int) -> list
 
 
 def random_search(df: DataFrame, features: Sequence[str], y: str, order: Sequence[str], space: Mapping[str, Sequence] = SEARCH_SPACE,
-                  trials: int = TRIALS, k: int = FOLDS, seed: int = 42, **fixed) -> tuple[DataFrame, dict]:
-    """(trial table, best parameters) by mean log-loss over time-ordered folds."""
-    folded = ts_cv(df, order, k, "_fold")
+                  trials: int = TRIALS, k: int = FOLDS, seed: int = 42, **fixed) -> tuple[DataFrame, dict, PipelineModel]:
+    """(trial table with its parameters, best parameters, model refitted with them on all rows) by mean log-loss over time-ordered folds.
+
+    From the second fold on, the fold before the held-out one decides when boosting stops; in the refit the last fold does.
+    """
+    folded = durable(ts_cv(df, order, k, "_fold"))
     tried = sample_params(space, trials, seed)
 
+    def fit(last: int, params: Mapping[str, object]) -> PipelineModel:
+        rows = folded.where(F.col("_fold") < last)
+        return fit_trees(rows.withColumn("_stop", F.col("_fold") == last - 1), features, y, "_stop" if last > 1 else None, **{**fixed, **params})
+
     def loss(job: tuple[int, int]) -> tuple[int, int, float]:
         trial, j = job
-        model = fit_trees(folded.where(F.col("_fold") < j), features, y, **{**fixed, **tried[trial]})
-        scored = with_prob(folded.where(F.col("_fold") == j), model, "_p")
+        scored = with_prob(folded.where(F.col("_fold") == j), fit(j, tried[trial]), "_p")
         return trial, j, scored.agg(F.avg(metrics.log_loss(F.col("_p"), F.col(y)))).first()[0]
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         rows = list(pool.map(loss, [(t, j) for t in range(trials) for j in range(1, k + 1)]))
     table = df.sparkSession.createDataFrame(rows, "trial int, fold int, log_loss double")
     scores = table.groupBy("trial").agg(F.avg("log_loss").alias("log_loss"), F.count(F.lit(1)).alias("folds"))
+    named = df.sparkSession.createDataFrame([(t, json.dumps({**fixed, **p})) for t, p in enumerate(tried)], "trial int, params string")
+    scores = durable(scores.join(named, "trial"))
     best = best_by(scores, "log_loss", largest=False, tie=["trial"]).first()["trial"]
-    return scores, {**fixed, **tried[best]}
+    return scores, {**fixed, **tried[best]}, fit(k + 1, tried[best])
 
 
 def importances(df: DataFrame, model: PipelineModel, features: Sequence[str], name: str) -> DataFrame:
@@ -210,12 +221,28 @@ class Bundle:
     class_temperature: Mapping[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
-        """Model folders under ``path``, as Spark ML writes them."""
+        """Model folders under ``path``, as Spark ML writes them, and one JSON row with all that is not a model."""
         self.imputer.write().overwrite().save(f"{path}/imputer")
         for n, m in self.base.items():
             m.write().overwrite().save(f"{path}/base_{n}")
         if self.stacker is not None:
             self.stacker.write().overwrite().save(f"{path}/stacker")
+        for task, trees in self.class_models.items():
+            for i, m in enumerate(trees.models):
+                m.write().overwrite().save(f"{path}/class_{task}_{i}")
+        meta = {"features": list(self.features), "base": list(self.base), "stacker": self.stacker is not None, "threshold": float(self.threshold),
+                "calibrators": {n: [c.slope, c.intercept] for n, c in self.calibrators.items()}, "classes": {t: list(m.classes) for t, m in self.class_models.items()},
+                "temperatures": dict(self.class_temperature)}
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Bundle:
+        """A saved bundle, complete for :func:`score`."""
+        meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
+        classes = {t: ClassTrees([PipelineModel.load(f"{path}/class_{t}_{i}") for i in range(len(names))], names) for t, names in meta["classes"].items()}
+        return cls(meta["features"], GroupImputerModel.load(f"{path}/imputer"), {n: PipelineModel.load(f"{path}/base_{n}") for n in meta["base"]},
+                   PipelineModel.load(f"{path}/stacker") if meta["stacker"] else None, meta["threshold"], {n: Platt(*c) for n, c in meta["calibrators"].items()}, classes, meta["temperatures"])
 
 
 def previous_probability(df: DataFrame, features: Sequence[str], imputer, model: PipelineModel, key: str, name: str,
@@ -268,7 +295,7 @@ def fit_tasks(df: DataFrame, features: Sequence[str], tasks: Sequence[Task], ord
     scores, models = [], {}
     for task in tasks:
         rows, classes = index_labels(df, task.y, task.classes, "_y")
-        folded = ts_cv(rows, order, k, "_fold")
+        folded = durable(ts_cv(rows, order, k, "_fold"))
         if folded.count() < min_rows or len(classes) < 2:
             continue
         binary = list(classes) == [0, 1]

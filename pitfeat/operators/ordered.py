@@ -63,7 +63,7 @@ def _window(by: Sequence[str], order: Sequence[str | Column]):
     return spec.orderBy(*order)
 
 
-def _with_totals(blocked: DataFrame, totals: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+def with_totals(blocked: DataFrame, totals: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
     """Join per-block figures onto the rows, null keys included."""
     keys = [*by, BLOCK]
     renamed = totals.select(*[F.col(c).alias(f"_k_{c}") for c in keys], *[c for c in totals.columns if c not in keys])
@@ -127,14 +127,14 @@ def running_in_blocks(blocked: DataFrame, by: Sequence[str], order: Sequence[str
                .withColumn("_rn", F.row_number().over(_window([*by, BLOCK], backwards)))
                .where("_rn = 1").select(*by, BLOCK, value.alias(f"_all_{n}")))
         base = per_block if per_block is not None else blocked.select(*by, BLOCK).distinct()
-        per_block = _with_totals(base, one, by)
+        per_block = with_totals(base, one, by)
     earlier = _window(by, [BLOCK]).rowsBetween(Window.unboundedPreceding, -1)
     before = per_block.select(
         *by, BLOCK,
         *[_running("sum" if kind == "count" else kind, F.col(f"_all_{n}"), earlier).alias(f"_before_{n}")
           for n, (kind, _) in totals.items()],
     )
-    joined = _with_totals(here, before, by)
+    joined = with_totals(here, before, by)
     return joined.select(
         *blocked.columns,
         *[_combine(kind, F.col(f"_before_{n}"), F.col(f"_here_{n}")).alias(n) for n, (kind, _) in totals.items()],
@@ -182,14 +182,14 @@ def with_history(df: DataFrame, by: Sequence[str], order: Sequence[str], rows: i
     backwards = [F.col(c).desc() for c in order]
     tails = (blocked.withColumn("_from_end", F.row_number().over(_window([*by, BLOCK], backwards)))
              .where(F.col("_from_end") <= rows))
-    tails = _with_totals(tails, spans.select(*by, BLOCK, "_end", "_later"), by, "inner")
+    tails = with_totals(tails, spans.select(*by, BLOCK, "_end", "_later"), by, "inner")
     reach = F.filter("_later", lambda x: F.col("_from_end") + x["first"] - F.col("_end") <= rows)
     copies = (tails.withColumn("_to", F.explode(reach))
               .withColumn(BLOCK, F.col("_to.block"))
               .select(*blocked.columns, F.lit(True).alias("_copy")))
     both = blocked.withColumn("_copy", F.lit(False)).unionByName(copies)
     starts = spans.select(*by, BLOCK, (F.col("_first") - F.least(F.lit(rows), F.col("_first"))).alias("_start"))
-    return _with_totals(both, starts, by)
+    return with_totals(both, starts, by)
 
 
 def time_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:

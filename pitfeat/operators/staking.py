@@ -10,11 +10,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pitfeat.functions.numbers import edge, kelly
 from pitfeat.operators.aggregates import best_by
-from pitfeat.operators.ordered import BEFORE, BLOCK, HOT_ROWS, ordered_blocks, running, running_in_blocks, running_small, split_hot
+from pitfeat.operators.ordered import BEFORE, BLOCK, HOT_ROWS, ordered_blocks, running, running_small, split_hot, with_totals
+from pitfeat.session import durable
 
 
 @dataclass(frozen=True)
@@ -139,14 +140,33 @@ def drawdown(df: DataFrame, order: Sequence[str], gain: str = "profit", by: Sequ
     if usual is not None:
         parts.append(running_small(running_small(usual, by, order, total), by, order, top))
     if hot is not None:
-        blocked = ordered_blocks(hot, by, order)
-        parts.append(running_in_blocks(running_in_blocks(blocked, by, order, total), by, order, top).drop(BLOCK))
+        parts.append(_drawdown_in_blocks(hot, by, order, gain))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if start is not None:
         out = out.withColumns({"cum_profit": F.col("cum_profit") + start, "running_max": F.col("running_max") + start})
     return out.withColumn("drawdown", F.col("cum_profit") - F.col("running_max"))
 
 
+def _drawdown_in_blocks(df: DataFrame, by: Sequence[str], order: Sequence[str], gain: str) -> DataFrame:
+    """Running profit and its maximum of hot keys: one pass of windows within blocks, then block figures carried forward.
+
+    A block is told by its sum and its largest running sum, a pair that combines: before a block stand the sum of all earlier sums, and the largest of their running
+    sums, each raised by what came before it.
+    """
+    keys = [*by, BLOCK]
+    inside = running_small(running_small(ordered_blocks(df, by, order), keys, order, {"_sum": ("sum", F.col(gain))}), keys, order, {"_top": ("max", F.col("_sum"))})
+    inside = durable(inside)
+    blocks = inside.groupBy(*keys).agg(F.sum(gain).alias("_all"), F.max("_top").alias("_high"))
+    earlier = Window.partitionBy(*by).orderBy(BLOCK) if by else Window.orderBy(BLOCK)  # one row per block
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    raised = blocks.withColumn("_base", F.sum("_all").over(earlier))
+    raised = raised.withColumn("_before", F.max(F.coalesce("_base", F.lit(0.0)) + F.col("_high")).over(earlier))
+    joined = with_totals(inside, raised.select(*keys, "_base", "_before"), by)
+    base = F.coalesce("_base", F.lit(0.0))
+    cum = F.when(F.col("_sum").isNull(), F.col("_base")).otherwise(base + F.col("_sum"))
+    return joined.select(*df.columns, cum.alias("cum_profit"), F.greatest("_before", F.when(F.col("_top").isNotNull(), base + F.col("_top"))).alias("running_max"))
+
+
 def max_drawdown(df: DataFrame, order: Sequence[str], gain: str = "profit", by: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
     return drawdown(df, order, gain, by, hot_rows).groupBy(*by).agg(F.min("drawdown").alias("max_drawdown"))
 
@@ -171,29 +191,34 @@ def _band(value: Column, floors: Sequence[float]) -> Column:
 
 
 def policy_scores(df: DataFrame, grid: Sequence[Policy] = tuple(GRID), event: str | None = None, max_exposure: float | None = None,
-                  p: str = "p", y: str = "y", price_1: str = "price_1", price_2: str = "price_2") -> DataFrame:
+                  p: str = "p", y: str = "y", price_1: str = "price_1", price_2: str = "price_2", max_bets: int | None = None, order: Sequence[str] = (),
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Wager, profit, return, and per-row return ratio of every policy, from one pass and without copying rows.
 
     A bet goes to the side with the larger edge; the policy's floors only decide whether it is placed. So a row is
     described by how many edge floors and probability floors it reaches, and rows are summed per event and pair of
     these counts, with one pair of sums for each (cap, multiplier). Policies are then sums over the few counts they
-    accept; the event exposure limit scales those sums.
+    accept; the event exposure limit scales those sums. With ``max_bets`` only the first so many bets of a policy in an event count, in ``order``: what
+    a policy bets on depends on its two floors alone, so a running count per pair of floors decides, and sums are kept per pair.
     """
     pc, yc, o1, o2 = F.col(p), F.col(y), F.col(price_1), F.col(price_2)
     edges, floors = sorted({float(g.min_edge) for g in grid}), sorted({float(g.p_min) for g in grid})
     sizes = sorted({(float(g.cap), float(g.multiplier)) for g in grid if g.cap > 0 and g.multiplier > 0})
     e1, e2 = edge(pc, o1), edge(1.0 - pc, o2)
     first = F.col("_e1") >= F.col("_e2")
+    at = [F.col(c).alias(f"_at{i}") for i, c in enumerate(order)] if max_bets is not None else []
     rows = df.where(pc.isNotNull() & o1.isNotNull() & o2.isNotNull()).select(
-        (F.col(event) if event else F.lit(None).cast("string")).alias("_event"), pc.alias("_p"), yc.alias("_y"), o1.alias("_o1"), o2.alias("_o2"),
+        *at, (F.col(event) if event else F.lit(None).cast("string")).alias("_event"), pc.alias("_p"), yc.alias("_y"), o1.alias("_o1"), o2.alias("_o2"),
         e1.alias("_e1"), e2.alias("_e2"))
     sided = rows.select(
-        "_event", _band(F.greatest("_e1", "_e2"), edges).alias("_edge"),
+        *[f"_at{i}" for i in range(len(at))], "_event", _band(F.greatest("_e1", "_e2"), edges).alias("_edge"),
         _band(F.when(first, F.col("_p")).otherwise(1.0 - F.col("_p")), floors).alias("_floor"),
         F.when(first, kelly(F.col("_p"), F.col("_o1"))).otherwise(kelly(1.0 - F.col("_p"), F.col("_o2"))).alias("_k"),
         _unit(F.when(first, 1).otherwise(2), F.col("_y"), F.col("_o1"), F.col("_o2")).alias("_u"))
     placed = sided.where("_k > 0 and _edge > 0 and _floor > 0")
     staked = [F.least(F.col("_k") * m, F.lit(c)) for c, m in sizes]
+    if max_bets is not None:
+        return _table(df, grid, _limited(placed, grid, edges, floors, sizes, staked, max_bets, [f"_at{i}" for i in range(len(at))], hot_rows), max_exposure)
     folded = placed.groupBy("_event", "_edge", "_floor").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_u").alias("_r"), F.sum(F.col("_u") * F.col("_u")).alias("_rr"),
         *[F.sum(f).alias(f"_f{i}") for i, f in enumerate(staked)], *[F.sum(f * F.col("_u")).alias(f"_g{i}") for i, f in enumerate(staked)])
@@ -206,6 +231,34 @@ def policy_scores(df: DataFrame, grid: Sequence[Policy] = tuple(GRID), event: st
     each = each.where((F.col("_edge") > F.col("t.edge")) & (F.col("_floor") > F.col("t.floor")) & (F.col("t.size") >= 0))
     per_event = each.groupBy(F.col("t.policy").alias("policy"), "_event").agg(
         F.sum(F.get("_fs", "t.size")).alias("_f"), F.sum(F.get("_gs", "t.size")).alias("_g"), F.sum("_r").alias("_r"), F.sum("_rr").alias("_rr"), F.sum("_n").alias("_n"))
+    return _table(df, grid, per_event, max_exposure)
+
+
+def _limited(placed: DataFrame, grid: Sequence[Policy], edges: list[float], floors: list[float], sizes: list[tuple[float, float]], staked: list[Column],
+             max_bets: int, order: list[str], hot_rows: int) -> DataFrame:
+    """Sums per policy and event over the first ``max_bets`` bets of the event."""
+    pairs = [(i, j) for i in range(len(edges)) for j in range(len(floors))]
+    takes = {pair: (F.col("_edge") > pair[0]) & (F.col("_floor") > pair[1]) for pair in pairs}
+    counted = running(placed, ["_event"], order, {f"_c{i}_{j}": ("sum", F.when(takes[i, j], 1).otherwise(0)) for i, j in pairs}, hot_rows)
+
+    def sums(i: int, j: int) -> Column:
+        def over(c: Column) -> Column:
+            return F.sum(F.when(takes[i, j] & (F.col(f"_c{i}_{j}") <= max_bets), c))
+
+        u = F.col("_u")
+        return F.struct(F.coalesce(over(F.lit(1)), F.lit(0)).alias("n"), over(u).alias("r"), over(u * u).alias("rr"),
+                        F.array(*[over(f) for f in staked]).alias("fs"), F.array(*[over(f * u) for f in staked]).alias("gs"))
+
+    folded = counted.groupBy("_event").agg(*[sums(i, j).alias(f"_s{i}_{j}") for i, j in pairs])
+    each = []
+    for k, g in enumerate(grid):
+        if g.cap > 0 and g.multiplier > 0:
+            own, size = F.col(f"_s{edges.index(g.min_edge)}_{floors.index(g.p_min)}"), F.lit(sizes.index((g.cap, g.multiplier)))
+            each.append(F.struct(F.lit(k).alias("policy"), F.get(own["fs"], size).alias("_f"), F.get(own["gs"], size).alias("_g"), own["r"].alias("_r"), own["rr"].alias("_rr"), own["n"].alias("_n")))
+    return folded.select("_event", F.explode(F.array(*each)).alias("t")).select("_event", "t.*").where("_n > 0")
+
+
+def _table(df: DataFrame, grid: Sequence[Policy], per_event: DataFrame, max_exposure: float | None) -> DataFrame:
     scale = F.lit(1.0) if not max_exposure else F.when(F.col("_f") > max_exposure, F.lit(max_exposure) / F.col("_f")).otherwise(1.0)
     totals = per_event.groupBy("policy").agg(
         F.sum(F.col("_f") * scale).alias("total_wager"), F.sum(F.col("_g") * scale).alias("total_profit"),
@@ -226,9 +279,9 @@ def policy_scores(df: DataFrame, grid: Sequence[Policy] = tuple(GRID), event: st
 
 
 def tune_policy(df: DataFrame, grid: Sequence[Policy] = tuple(GRID), objective: str = "roi", event: str | None = None,
-                max_exposure: float | None = None, default: Policy = DEFAULT_POLICY, **names: str) -> Policy:
+                max_exposure: float | None = None, default: Policy = DEFAULT_POLICY, max_bets: int | None = None, order: Sequence[str] = (), **names: str) -> Policy:
     """The policy with the best objective, first in grid order on ties; ``default`` when no policy places a bet."""
-    scores = policy_scores(df, grid, event, max_exposure, **names)
+    scores = policy_scores(df, grid, event, max_exposure, max_bets=max_bets, order=order, **names)
     best = best_by(scores.where(F.col(objective) > NO_SCORE), objective, tie=["policy"]).first()
     return Policy(best["min_edge"], best["cap"], best["multiplier"], best["p_min"]) if best else default
 

@@ -81,7 +81,7 @@ def walk_forward_backtest(df: DataFrame, cfg: Setup, calendar: Sequence[tuple],
         cut = int(train.count() * 0.9)
         ready = durable(imputer.transform(train))
         model, calibrator, tail = choose_model(ready.where(F.col("_idx") < cut), ready.where(F.col("_idx") >= cut), cfg)
-        policy = tune_policy(_as_bets(tail, cfg), cfg.grid, cfg.objective, cfg.event, cfg.max_exposure, DEFAULT_POLICY)
+        policy = tune_policy(_as_bets(tail, cfg), cfg.grid, cfg.objective, cfg.event, cfg.max_exposure, DEFAULT_POLICY, cfg.max_bets, [cfg.ts, cfg.key])
         scored = calibrator.apply(with_prob(imputer.transform(test), model, "_raw"), "_raw", "p", cfg.segment)
         placed = durable(place_bets(_as_bets(scored, cfg), policy, cfg.event, [cfg.ts, cfg.key], cfg.max_bets, cfg.max_exposure).select(
             F.lit(fold).alias("fold"), *cfg.carried(), "p", *[c for c in ("y", "price_1", "price_2") if c not in cfg.carried()],

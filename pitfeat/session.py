@@ -42,12 +42,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def step_dir(spark: SparkSession) -> str:
+    """The folder of this application's stored steps."""
+    return f"{shared_dir(spark)}/steps-{spark.sparkContext.applicationId}"
+
+
+def drop_steps(spark: SparkSession) -> None:
+    """Delete all steps that this application has stored. Results that still read them must have been written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(step_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back.
 
     Cuts lineage like a reliable checkpoint, survives executor loss, and later readers still get column pruning.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/step-{uuid.uuid4().hex}"
+    path = f"{step_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

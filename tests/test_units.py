@@ -259,6 +259,13 @@ def test_models_are_saved_and_probabilities_sum_to_one(scored, tmp_path):
     model = models.fit_logistic(ready, imputer.feature_names(), "y")
     bundle = models.Bundle(["p", "q"], imputer, {"m": model})
     bundle.save(str(tmp_path / "run"))
+    trees = models.fit_trees_multiclass(ready, ["p", "q"], "cls", maxIter=1, maxDepth=2)
+    whole = models.Bundle(["p", "q"], imputer, {"m": model}, models.fit_stacker(models.with_prob(ready, model, "m_prob"), ["m_prob"], "y"), 0.4,
+                          {"m": calibrate.Platt(1.5, -0.5)}, {"cls": trees}, {"cls": 1.5})
+    whole.save(str(tmp_path / "whole"))
+    loaded = models.Bundle.load(df.sparkSession, str(tmp_path / "whole"))
+    a, b = [[repr(r) for r in models.score(df, x, ["id"]).orderBy("id").collect()] for x in (whole, loaded)]
+    assert a == b and loaded.calibrators == whole.calibrators and loaded.threshold == 0.4
     again = features.GroupImputerModel.load(str(tmp_path / "run" / "imputer")).transform(df)
     reloaded = PipelineModel.load(str(tmp_path / "run" / "base_m"))
     a = models.with_prob(ready, model, "r").agg(F.sum("r")).first()[0]
