@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window, functions as F
 
 from catalog.base import SQL_PRICED, priced, query, r6, rounded, table
-from pitfeat.operators import metrics
+from pitfeat.operators import metrics, staking
 from pitfeat.operators.calibrate import fit_isotonic, fit_platt, fit_segment_platt
 from pitfeat.operators.features import GroupImputer
 from pitfeat.operators import models as m
 from pitfeat.plans.train import train_stack
+from pitfeat.session import shared_dir
 
 FEATURES = ["p", "l_extendedprice", "price_1", "price_2", "l_discount"]
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -147,3 +151,106 @@ def segment_calibrated_mean(spark, d):
     rows = priced(spark, d)
     cal = fit_segment_platt(rows, "p", "y", "o_orderpriority").apply(rows, "p", "cal", "o_orderpriority")
     return cal.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("cal"), 4).alias("mean_calibrated"))
+
+
+# --- conditions that a fit must meet, whatever the way it was found --------------------------------------------------
+
+@query("platt_conditions", f"with {SQL_PRICED} select count(*) as n, 0.0::double as slope_gradient, 0.0::double as mean_gradient from priced")
+def platt_conditions(spark, d):
+    """At the minimum of the penalised loss both gradients are 0."""
+    rows = priced(spark, d)
+    fit = fit_platt(rows, "p", "y")
+    off = F.col("cal") - F.col("y")
+    got = fit.apply(rows, "p", "cal").agg(F.count(F.lit(1)).alias("n"), (F.sum(off * F.col("p")) + fit.slope).alias("g"), F.sum(off).alias("b"))
+    return got.select("n", (F.round(F.col("g") / F.col("n"), 6) + 0.0).alias("slope_gradient"), (F.round(F.col("b") / F.col("n"), 6) + 0.0).alias("mean_gradient"))
+
+
+@query("segment_platt_conditions", f"with {SQL_PRICED} select o_orderpriority, count(*) as n, 0.0::double as slope_gradient, 0.0::double as mean_gradient from priced group by 1")
+def segment_platt_conditions(spark, d):
+    """The same in every segment with its own calibrator."""
+    rows = priced(spark, d)
+    fit = fit_segment_platt(rows, "p", "y", "o_orderpriority")
+    off = F.col("cal") - F.col("y")
+    sums = fit.apply(rows, "p", "cal", "o_orderpriority").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum(off * F.col("p")).alias("g"), F.sum(off).alias("b"))
+    got = sums.join(fit.table, F.col("o_orderpriority") == F.col("segment"))
+    return got.select("o_orderpriority", "n", (F.round((F.col("g") + F.col("slope")) / F.col("n"), 6) + 0.0).alias("slope_gradient"), (F.round(F.col("b") / F.col("n"), 6) + 0.0).alias("mean_gradient"))
+
+
+@query("isotonic_conditions", f"with {SQL_PRICED} select count(*) as n, 0::bigint as falls, 0.0::double as largest_gap from priced")
+def isotonic_conditions(spark, d):
+    """The fit never falls, and each level is the mean outcome of its rows."""
+    rows = priced(spark, d)
+    cal = fit_isotonic(rows, "p", "y").apply(rows, "p", "cal").select("p", "y", F.round("cal", 9).alias("cal"))
+    steps = cal.groupBy("p").agg(F.max("cal").alias("cal")).withColumn("last", F.lag("cal").over(Window.orderBy("p")))  # one row per probability, of which there are 50
+    falls = steps.agg(F.count_if(F.col("cal") < F.col("last")).alias("falls"))
+    gaps = cal.groupBy("cal").agg(F.count(F.lit(1)).alias("n"), F.abs(F.avg("y") - F.first("cal")).alias("gap")).agg(F.sum("n").alias("n"), (F.round(F.max("gap"), 6) + 0.0).alias("largest_gap"))
+    return gaps.withColumn("falls", F.lit(falls.first()["falls"]).cast("long"))
+
+
+@query("logistic_conditions", f"with {SQL_PRICED} select count(*) as n, 0.0::double as largest_gradient from priced")
+def logistic_conditions(spark, d):
+    rows = labelled(spark, d)
+    model = m.fit_logistic(rows, FEATURES, "y")
+    weights = [float(w) for w in model.stages[-1].coefficients]
+    x = vector_to_array(F.col("_scaled"))
+    off = m.prob() - F.col("y")
+    sums = model.transform(rows).agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("b"), *[F.sum(off * F.get(x, F.lit(i))).alias(f"g{i}") for i in range(len(weights))])
+    largest = F.greatest(F.abs("b"), *[F.abs(F.col(f"g{i}") + w) for i, w in enumerate(weights)])
+    return sums.select("n", (F.round(largest / F.col("n"), 3) + 0.0).alias("largest_gradient"))
+
+
+LATE = "year(o_orderdate) > 2000"
+
+
+@query("gbt_flags", f"with {SQL_PRICED} select count(*) as n, count(*) as in_range, true as beats_majority from priced where {LATE}")
+def gbt_flags(spark, d):
+    rows = labelled(spark, d).withColumn("is_val", F.year("o_orderdate") == 2000)
+    model = m.fit_trees(rows.where("year(o_orderdate) <= 2000"), FEATURES, "y", "is_val", maxIter=8, maxDepth=3)
+    hit = ((F.col("prob") >= 0.5).cast("int") == F.col("y")).cast("double")
+    got = m.with_prob(rows.where(LATE), model, "prob").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prob").between(0, 1)).alias("in_range"), F.avg(hit).alias("a"), F.avg("y").alias("b"))
+    return got.select("n", "in_range", (F.col("a") > F.greatest(F.col("b"), 1 - F.col("b"))).alias("beats_majority"))
+
+
+@query("multiclass_flags", f"with {SQL_PRICED}, c as (select l_returnflag, count(*) as k from lineitem group by 1) select (select count(*) from priced) as n, (select count(*) from priced) as sum_to_one, (select count(*) from c) as classes")
+def multiclass_flags(spark, d):
+    rows = labelled(spark, d)
+    model = m.fit_trees_multiclass(rows, FEATURES, "l_returnflag", maxIter=2, maxDepth=2)
+    total = F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)
+    return model.transform(rows, "probs").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(total - 1) < 1e-9).alias("sum_to_one"), F.max(F.size("probs")).cast("long").alias("classes"))
+
+
+@query("tune_flags", "select 2 as trials, 4 as folds, true as best_is_least, true as params_stored from (select 1)")
+def tune_flags(spark, d):
+    space = {"maxDepth": range(2, 4), "stepSize": [0.05, 0.1]}
+    scores, params, model = m.random_search(labelled(spark, d), FEATURES, "y", ["o_orderdate", *KEY, "l_extendedprice"], space, trials=2, k=2, maxIter=3)
+    best = F.min_by("params", F.struct("log_loss", "trial"))
+    return scores.agg(F.count(F.lit(1)).cast("int").alias("trials"), F.sum("folds").cast("int").alias("folds"), (best == json.dumps(params)).alias("best_is_least"),
+                      (F.count_if(F.get_json_object("params", "$.maxDepth").isNotNull()) == 2).alias("params_stored"))
+
+
+@query("score_stored_run", f"with {SQL_PRICED} select {', '.join(KEY).replace('l_linenumber', 'l_linenumber::bigint as l_linenumber')}, true as same_probability, true as same_class, true as staked_if_edge from priced where {LATE}")
+def score_stored_run(spark, d):
+    """Train, store, load and score later rows: the loaded run gives what the one in memory gives, with a stake where a side has an edge."""
+    rows = labelled(spark, d)
+    past, future = rows.where("year(o_orderdate) <= 2000"), rows.where(LATE)
+    imputer = GroupImputer(inputCols=FEATURES, indicators=False).fit(past)
+    base = {"a": m.fit_logistic(past, FEATURES, "y"), "b": m.fit_trees(past, FEATURES, "y", maxIter=3, maxDepth=3)}
+    scored = past
+    for n, model in base.items():
+        scored = m.with_prob(scored, model, f"{n}_prob")
+    classes = m.fit_trees_multiclass(past, FEATURES, "l_returnflag", maxIter=1, maxDepth=2)
+    run = m.Bundle(FEATURES, imputer, base, m.fit_stacker(scored, ["a_prob", "b_prob"], "y"), 0.45, {"a": fit_platt(scored, "a_prob", "y")}, {"flag": classes}, {"flag": 1.25})
+    path = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    run.save(path)
+    keep = [*KEY, "l_extendedprice", "price_1", "price_2"]
+
+    def bets(bundle: m.Bundle) -> DataFrame:
+        out = m.score(future, bundle, keep).withColumn("p", F.col("win_prob"))
+        return staking.side_suggestion(out)
+
+    a, b = bets(run), bets(m.Bundle.load(spark, path))
+    b = b.select(*[F.col(c).alias(f"_{c}") for c in [*KEY, "l_extendedprice", "win_prob", "flag_class", "kelly_1", "kelly_2"]])
+    met = a.join(b, [a[c] == b[f"_{c}"] for c in (*KEY, "l_extendedprice")])
+    edge = F.col("p") * F.col("price_1") - 1 >= staking.DEFAULT_POLICY.min_edge
+    return rounded(met.select(*KEY, (F.abs(F.col("win_prob") - F.col("_win_prob")) < 1e-12).alias("same_probability"), (F.col("flag_class") == F.col("_flag_class")).alias("same_class"),
+                              ((F.col("_kelly_1") > 0) == (edge & (F.col("p") > 0))).alias("staked_if_edge")))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pitfeat.functions.numbers import argmax_class, renormalise
 from pitfeat.operators import metrics
 from pitfeat.operators.aggregates import best_by, with_class_weight
-from pitfeat.operators.calibrate import Platt
+from pitfeat.operators.calibrate import Platt, apply_temperature, fit_platt, fit_temperature
 from pitfeat.operators.clean import align
 from pitfeat.operators.features import GroupImputerModel
 from pitfeat.operators.splits import ts_cv
@@ -272,8 +272,6 @@ def score(df: DataFrame, bundle: Bundle, keep: Sequence[str], names: tuple[str,
     for task, model in bundle.class_models.items():
         out = model.transform(out, f"{task}_probs")
         if task in bundle.class_temperature:
-            from pitfeat.operators.calibrate import apply_temperature
-
             out = apply_temperature(model.logits(out, f"{task}_probs", "_logits"), "_logits", bundle.class_temperature[task], f"{task}_probs").drop("_logits")
         out = out.withColumn(f"{task}_class", argmax_class(F.col(f"{task}_probs"), model.classes))
         new += [f"{task}_probs", f"{task}_class"]
@@ -289,9 +287,31 @@ class Task:
     classes: Sequence | None = None
 
 
+@dataclass(frozen=True)
+class FittedTask:
+    """A task's model on all rows and what its held-out probabilities say about calibration: Platt for two classes, a temperature for more."""
+
+    model: object
+    classes: Sequence
+    platt: Platt | None = None
+    temperature: float = 1.0
+
+    def transform(self, df: DataFrame, name: str = "probs") -> DataFrame:
+        """Calibrated probabilities per class as an array."""
+        if self.platt is not None:
+            out = self.platt.apply(with_prob(df, self.model, "_raw"), "_raw", "_cal")
+            return out.withColumn(name, F.array(1.0 - F.col("_cal"), F.col("_cal"))).drop("_raw", "_cal")
+        out = self.model.logits(self.model.transform(df, "_probs"), "_probs", "_logits")
+        return apply_temperature(out, "_logits", self.temperature, name).drop("_probs", "_logits")
+
+
 def fit_tasks(df: DataFrame, features: Sequence[str], tasks: Sequence[Task], order: Sequence[str], k: int = FOLDS,
-              min_rows: int = MIN_TASK_ROWS, **params) -> tuple[DataFrame | None, dict[str, object]]:
-    """(fold scores, fitted models) of several targets over one feature table; tasks with too few labels are skipped."""
+              min_rows: int = MIN_TASK_ROWS, **params) -> tuple[DataFrame | None, dict[str, FittedTask]]:
+    """(fold scores, fitted tasks) of several targets over one feature table; tasks with too few labels are skipped.
+
+    From the second fold on the fold before the held-out one decides when boosting stops, in the last fit the last fold does. Calibrators are fitted on the held-out
+    probabilities of all folds, so no row calibrates a model that it trained.
+    """
     scores, models = [], {}
     for task in tasks:
         rows, classes = index_labels(df, task.y, task.classes, "_y")
@@ -300,16 +320,24 @@ def fit_tasks(df: DataFrame, features: Sequence[str], tasks: Sequence[Task], ord
             continue
         binary = list(classes) == [0, 1]
 
-        def fit(part: DataFrame):
-            return fit_trees(part, features, "_y", **params) if binary else fit_trees_multiclass(part, features, "_y", list(range(len(classes))), **params)
+        def fit(last: int):
+            part = folded.where(F.col("_fold") < last).withColumn("_stop", F.col("_fold") == last - 1)
+            stop = {"val_col": "_stop"} if last > 1 else {}
+            return fit_trees(part, features, "_y", **stop, **params) if binary else fit_trees_multiclass(part, features, "_y", list(range(len(classes))), **stop, **params)
 
+        held_out = []
         for j in range(1, k + 1):
-            model = fit(folded.where(F.col("_fold") < j))
+            model = fit(j)
             held = folded.where(F.col("_fold") == j)
             if binary:
                 probs = with_prob(held, model, "_p").withColumn("_probs", F.array(1.0 - F.col("_p"), F.col("_p")))
             else:
-                probs = model.transform(held, "_probs")
+                probs = model.logits(model.transform(held, "_probs"), "_probs", "_logits")
+            probs = durable(probs.select("_y", "_probs", "_p" if binary else "_logits"))
+            held_out.append(probs)
             scores.append(metrics.multiclass_metrics(probs, "_probs", "_y").select(F.lit(task.name).alias("task"), F.lit(j).alias("fold"), "n", "log_loss", "accuracy"))
-        models[task.name] = fit(folded)
+        every = reduce(DataFrame.unionByName, held_out)
+        fitted = fit(k + 1)
+        models[task.name] = (FittedTask(fitted, classes, platt=fit_platt(every, "_p", "_y")) if binary
+                             else FittedTask(fitted, classes, temperature=fit_temperature(every, "_logits", "_y")))
     return (reduce(DataFrame.unionByName, scores) if scores else None), models
