@@ -16,8 +16,9 @@ def flatten_price_feed(feed: DataFrame, column: str = "json", market: str = MARK
     entry = feed.select(F.from_json(F.col(column), FEED).alias("e"))
     # explode_outer: plain explode adds a filter on the array's size, for which each text would be parsed once more
     books = entry.select("e.*").withColumn("b", F.explode_outer("bookmakers")).drop("bookmakers")
-    chosen = F.get(F.filter("b.markets", lambda m: m["key"] == market), F.lit(0))
-    rows = books.withColumn("m", chosen).where(F.size("m.outcomes") >= 2)
+    # chosen once per book, in one expression that the size test and the columns share after the filter
+    at = F.array_position(F.col("b.markets.key"), F.lit(market))
+    rows = books.withColumn("m", F.when(at > 0, F.get("b.markets", (at - 1).cast("int")))).where(F.size("m.outcomes") >= 2)
     first, second = F.col("m.outcomes")[0], F.col("m.outcomes")[1]
     versus = F.btrim(F.concat(F.coalesce("home_team", F.lit("")), F.lit(" vs "), F.coalesce("away_team", F.lit(""))))
     return rows.select(
