@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # The white space of all contracts here: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -44,6 +45,19 @@ def crc_mod(c: Column | str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(c).cast("string") if isinstance(c, str) else c.cast("string")) % n, F.lit(0))
 
 
+def numbered(df: DataFrame, keys: list[str], most: int, name: str = "copy") -> DataFrame:
+    """The rows with their number, from 1, among those of equal ``keys``; ``most``: the largest such number, known from a narrow table.
+
+    Where no keys repeat, no rows are moved for it.
+    """
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) if most > 1 else F.lit(1))
+
+
+def same(pairs: dict[str, str]) -> Column:
+    """Join condition: equal, nulls included."""
+    return reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs.items()])
+
+
 def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in slices, so that no more than a slice of texts is held as Python objects."""
     for batch in batches:

@@ -23,7 +23,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pitfeat.llm.common import WORD, documents, query, whole
+from pitfeat.llm.common import WORD, documents, numbered, query, same, whole
 from pitfeat.session import durable
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
@@ -35,10 +35,13 @@ def n_words(text: Column | str) -> Column:
     return F.regexp_count(whole(text), F.lit(WORD)).cast("long")
 
 
+def _place() -> Column:
+    return F.xxhash64(F.lit(SEED), F.col("doc_id"), whole("text"))
+
+
 def sizes_of(rows: DataFrame) -> DataFrame:
     """rid, doc_id, source, size and the stream order; ``rows`` has rid, doc_id, source, text."""
-    return rows.select("rid", "doc_id", "source", n_words("text").alias("size"),
-                       F.xxhash64(F.lit(SEED), F.col("doc_id"), whole("text")).alias("h"))
+    return rows.select("rid", "doc_id", "source", n_words("text").alias("size"), _place().alias("h"))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -139,12 +142,18 @@ def mix_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
     A document taken whole keeps its text; of one taken in part, the taken stretches follow each other, with their own white space.
     """
-    stored = durable(docs.select(F.struct("*").alias("input"), F.monotonically_increasing_id().alias("rid")))
-    sizes = durable(sizes_of(stored.select("rid", "input.doc_id", "input.source", "input.text")))
-    parts, _ = mix(sizes, block)
+    # rows are told by doc_id, source, a hash of the text and, where these repeat, a number
+    keys = ["d", "s", "t"]
+    rows = docs.select(F.struct("*").alias("input"), F.col("doc_id").alias("d"), F.col("source").alias("s"), F.xxhash64(whole("text")).alias("t"))
+    flat = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("d").alias("doc_id"), F.col("s").alias("source"), "t", "input.text")
+    sizes = durable(flat.select("rid", "doc_id", "source", "t", n_words("text").alias("size"), _place().alias("h")))
+    most = sizes.groupBy("doc_id", "source", "t").count().agg(F.max("count")).first()[0] or 1
+    parts, _ = mix(sizes.drop("t"), block)
     cuts = parts.where("took is not null").groupBy("rid", "pass", "size").agg(
         F.sum("took").alias("took"), F.sort_array(F.collect_list(F.struct("skip", "took"))).alias("cuts"))
-    met = stored.join(cuts, "rid")
+    named = numbered(sizes.select(F.col("rid").alias("n_rid"), F.col("doc_id").alias("n_d"), F.col("source").alias("n_s"), F.col("t").alias("n_t")), ["n_d", "n_s", "n_t"], most, "n_copy")
+    cuts = cuts.join(named, F.col("rid") == F.col("n_rid"))
+    met = numbered(rows, keys, most).join(cuts, same({"d": "n_d", "s": "n_s", "t": "n_t", "copy": "n_copy"}))
     words = F.regexp_extract_all(whole("input.text"), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
     some = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice(words, (c["skip"] + 1).cast("int"), c["took"].cast("int")))), "")
     text = F.when(F.col("took") == F.col("size"), F.col("input.text")).otherwise(some)

@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pitfeat.llm.common import documents, pieces, query, small
+from pitfeat.llm.common import documents, numbered, pieces, query, same, small
 from pitfeat.session import durable
 
 SHINGLE, SEED, BITS = 4, 42, 4
@@ -308,14 +308,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays: of those with the smallest doc_id (null last) the first as stored. Columns as they came."""
-    rows = docs.select(F.struct("*").alias("input"), F.monotonically_increasing_id().alias("rid"))
-    stored = durable(rows)
-    marked = durable(fingerprints(stored.select("rid", "input.doc_id", "input.text")))
+    """One document of each component stays: the one with the smallest doc_id (null last), of several such the one with the smallest hash of its text.
+
+    Rows are told by doc_id and that hash; of rows that share both, one stays. Columns as they came.
+    """
+    rows = docs.select(F.struct("*").alias("input"), F.col("doc_id").alias("d"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    marked = durable(fingerprints(rows.select(F.col("d").alias("doc_id"), "h", F.col("input.text").alias("text"))))
     found = marked.join(classes(marked), F.col("fp") == F.col("c_fp"))
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first"))
-    keep = durable(first.select(F.col("first.rid").alias("keep")))
-    return stored.join(keep, F.col("rid") == F.col("keep"), "left_semi").select("input.*")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h")).alias("first"))
+    keep = durable(first.select(F.col("first.doc_id").alias("k_doc"), F.col("first.h").alias("k_h")))
+    kept = rows.join(keep, same({"d": "k_doc", "h": "k_h"}), "left_semi")
+    most = marked.groupBy("doc_id", "h").count().agg(F.max("count")).first()[0] or 1
+    return numbered(kept, ["d", "h"], most).where("copy = 1").select("input.*")
 
 
 @query("op2_simhash")
