@@ -251,9 +251,10 @@ def sanity_report(df: DataFrame, now: dt.datetime, names: Mapping[str, str] | No
         checks.append(("height_low", "warning", n(c("height") < HEIGHT_RANGE[0]), x > 0))
         checks.append(("height_high", "warning", n(c("height") > HEIGHT_RANGE[1]), x > 0))
     if have["price_1"] and have["price_2"] and have["winner_encoded"]:
-        one = F.lit(1.0)
-        favourite = F.try_divide(one, c("price_1").cast("double")) > F.try_divide(one, c("price_2").cast("double"))
-        won = (favourite & (c("winner_encoded") == 1)) | (~favourite & (c("winner_encoded") == 0))
+        # the side with the shorter price won; equal prices make side 2 the favourite, a price that is not positive nobody
+        priced = (c("price_1").cast("double") > 0) & (c("price_2").cast("double") > 0)
+        shorter = F.when(priced, F.when(c("price_1").cast("double") < c("price_2").cast("double"), 1).otherwise(0))
+        won = shorter == c("winner_encoded")
         full = c("price_1").isNotNull() & c("price_2").isNotNull() & c("winner_encoded").isNotNull()
         rate = F.avg(F.when(full, F.coalesce(won, F.lit(False)).cast("double")))
         checks.append(("favourite_wins_too_often", "error", rate, x > FAVOURITE_RANGE[1]))

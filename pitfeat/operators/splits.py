@@ -31,12 +31,10 @@ def temporal_split(df: DataFrame, ts: str, val_start, test_start, name: str = "s
 def fold_calendar(initial_train_end: dt.date = INITIAL_TRAIN_END, final_test_end: dt.date = FINAL_TEST_END,
                   test_days: int = TEST_DAYS, step_days: int | None = None) -> list[tuple[int, dt.date, dt.date]]:
     """(fold, start, end) of each test part; the step defaults to the window, so that parts do not overlap."""
-    step = dt.timedelta(days=step_days or test_days)
-    start, out = initial_train_end, []
-    while start < final_test_end:
-        out.append((len(out) + 1, start, start + dt.timedelta(days=test_days)))
-        start += step
-    return out
+    step = step_days or test_days
+    folds = max(0, -(-(final_test_end - initial_train_end).days // step))
+    starts = [initial_train_end + dt.timedelta(days=k * step) for k in range(folds)]
+    return [(k, s, s + dt.timedelta(days=test_days)) for k, s in enumerate(starts, 1)]
 
 
 def last_folds(calendar: Sequence[tuple], n: int = KEEP_FOLDS) -> list[tuple]:
