@@ -1,9 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraphs, whose difference gives back the paragraphs that differ.
 
-A text is a bag of paragraphs: lines, cut after sentences and into runs of at most ``RUN`` words; a short text is a bag of words, a tiny one of characters. Equal
-paragraphs are told apart by their number. Each 64-bit digest is added to one cell of each of three tables: a count, the sum of the digests and
+A text of whatever length is a bag of its words and its paragraphs: lines, cut after sentences and into runs of at most ``RUN`` words. A word of over ``LONG`` bytes, as in
+scripts without spaces, counts as its runs of ``PIECE`` code points. Equal units are told apart by their number. Each 64-bit digest is added to one cell of each of three tables: a count, the sum of the digests and
 the sum of check values. The fingerprint is the smallest sketch. Subtracting two sketches leaves the digests of one side only; a cell of
-one digest is recognised by its check value, its digest is taken out everywhere, and so on. If cells remain, both texts are sketched anew at four times the
+one digest is recognised by its check value, its digest is taken out everywhere, and so on. If cells remain, both texts are sketched anew at ``GROW`` times the
 size, until nothing remains. Likeness is the shared part of both bags: 2 * common / (size + size), 1 for two empty bags.
 
 All texts of a window are sketched and peeled together, as arrays. Windows are bounded in bytes, documents and cells.
@@ -32,8 +32,8 @@ from pitfeat.llm.common import WHITE, documents, pieces, query, whole
 from pitfeat.llm.token_files import mix64
 from pitfeat.session import durable
 
-TABLES, LEAST_SIDE, GROW = 3, 8, 4
-RUN, SHORT, TINY = 16, 400, 40
+TABLES, LEAST_SIDE, GROW = 3, 8, 16
+RUN, LONG, PIECE = 16, 16, 4
 WINDOW_BYTES, WINDOW_DOCS, WINDOW_CELLS = 4 << 20, 4096, 1 << 21
 PART_BYTES = 32 << 20
 
@@ -41,26 +41,36 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
 def paragraphs(text: str) -> list[bytes]:
-    """The paragraphs of a text in order; without any difference for runs of white space."""
-    if len(text) < TINY:
-        return [c.encode() for c in text if c not in WHITE]
-    if len(text) < SHORT:
-        return text.encode().split()
-    out = []
+    """The words and the paragraphs of a text, by one rule for every length; without any difference for runs of white space."""
+    words, runs = [], []
     for sentence in _SENTENCE.split(text):
-        words = sentence.encode().split()
-        out += [b" ".join(words[k:k + RUN]) for k in range(0, len(words), RUN)]
-    return out
+        some = sentence.encode().split()
+        words += some
+        runs += [b" ".join(some[k:k + RUN]) for k in range(0, len(some), RUN)]
+    if max(map(len, words), default=0) > LONG:
+        words = [x for w in words for x in ([w] if len(w) <= LONG else _cut(w.decode()))]
+    return words + runs
+
+
+def _cut(word: str) -> list[bytes]:
+    return [word[k:k + PIECE].encode() for k in range(0, len(word), PIECE)]
+
+
+class _Hashes(dict):
+    """The hash of each unit met."""
+
+    def __missing__(self, unit: bytes) -> int:
+        self[unit] = h = xxhash.xxh64_intdigest(unit)
+        return h
 
 
-def digests(text: str) -> np.ndarray:
-    """One 64-bit digest per paragraph; the k-th copy of a paragraph has a digest of its own."""
-    seen: dict[bytes, int] = {}
-    out = []
-    for p in paragraphs(text):
-        seen[p] = k = seen.get(p, -1) + 1
-        out.append(xxhash.xxh64_intdigest(p, k))
-    return np.array(out, np.uint64)
+def digests(text: str, hashes: _Hashes | None = None) -> np.ndarray:
+    """One 64-bit digest per unit; the k-th copy of a unit has a digest of its own."""
+    units = paragraphs(text)
+    found = np.sort(np.fromiter(map((_Hashes() if hashes is None else hashes).__getitem__, units), np.uint64, len(units)))
+    at = np.arange(len(found))
+    copy = at - np.maximum.accumulate(np.where(np.r_[True, found[1:] != found[:-1]][:len(found)], at, 0))
+    return np.where(copy > 0, mix64(found, TABLES + 1) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), found)
 
 
 class Sketches:
@@ -98,7 +108,7 @@ class Sketches:
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Takes all digests out that can be recognised: (text, digest, sign) of each, and for each text whether nothing remains."""
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        todo = np.flatnonzero(np.abs(self.count) == 1)
+        todo, touched = np.flatnonzero(np.abs(self.count) == 1), np.zeros(len(self.count), bool)
         while len(todo):
             sign = self.count[todo]
             digest = self.key[todo] * sign.astype(np.uint64)
@@ -112,7 +122,10 @@ class Sketches:
                 break
             found.append((owner, digest, sign))
             self.add(owner, digest, -sign)
-            todo = np.unique(np.concatenate(list(self.places(owner, digest))))
+            touched[:] = False
+            for at in self.places(owner, digest):
+                touched[at] = True
+            todo = np.flatnonzero(touched)
         rest = (self.count != 0) | (self.key != 0) | (self.check != 0)
         clear = ~rest.reshape(self.n, self.cells).any(axis=1)
         got = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
@@ -170,7 +183,8 @@ def _rows(docs: list[tuple[int | None, str]], following: str) -> pa.RecordBatch:
     """Results for consecutive documents; ``following``: the text after the last one."""
     texts = [t for _, t in docs]
     changed = [edited(t, n) for t, n in zip(texts, [*texts[1:], following])]
-    bags, new_bags = [digests(t) for t in [*texts, following]], [digests(t) for t in changed]
+    hashes = _Hashes()
+    bags, new_bags = [digests(t, hashes) for t in [*texts, following]], [digests(t, hashes) for t in changed]
     own, after = bags[:-1], bags[1:]
     base, new_base, after_base = sketches(own), sketches(new_bags), sketches(after)
     columns = [
