@@ -3,7 +3,8 @@
 The words of a source form one stream, cut into blocks of ``block`` words (the last may be shorter); a document is one or more segments of
 blocks. The mix has slots: slot i of pass q of a source takes block perm(i), where perm is a pseudorandom permutation of the
 source's full blocks (swap-or-not rounds, a bijection for every number of blocks), so each pass takes every block once. Slots are dealt to
-the output shards by independent uniform draws, so every shard's count of a source is multinomial while the totals are exact. The last
+the output shards by independent uniform draws, so every shard's count of a source is multinomial while the totals are exact; ``mix_documents`` writes the shards
+one after another. The last
 slot of a source is cut to the words still missing, so a source gives its target to the word. Slots meet the segments by block index.
 
 Targets. A source weighs 5, 2 or 1 by its rank in code point order (null last), repeating. ``share`` times all words are shared by weight;
@@ -105,6 +106,10 @@ def slots(goal: DataFrame, block: int, shards: Column | int, most: int = MOST) -
                        "words")
 
 
+def n_shards(words: int, share: float = SHARE, shard_words: int = SHARD_WORDS) -> int:
+    return max(1, math.ceil(words * share / shard_words))
+
+
 def segments(placed: DataFrame, block: int) -> DataFrame:
     """A row per document and block it lies in: lo and hi in the block, and ``skip``, the document's words before it; b is null without words."""
     last = F.col("start") + F.col("size")
@@ -122,8 +127,7 @@ def mix(sizes: DataFrame, block: int = BLOCK, weights=WEIGHTS, share: float = SH
     """
     goal = durable(targets(sizes, weights, share, most))
     rows, words = sizes.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    shards = max(1, math.ceil(words * share / shard_words))
-    drawn = slots(goal, block, F.lit(shards), most).withColumnsRenamed({"source": "d_source", "b": "d_b"})
+    drawn = slots(goal, block, F.lit(n_shards(words, share, shard_words)), most).withColumnsRenamed({"source": "d_source", "b": "d_b"})
     cut = segments(positions(sizes, rows), block)
     met = cut.join(drawn, F.col("source").eqNullSafe(F.col("d_source")) & (F.col("b") == F.col("d_b")), "left").drop("d_source", "d_b")
     took = F.least("hi", "words") - F.col("lo")
@@ -137,10 +141,11 @@ def taken(parts: DataFrame, goal: DataFrame) -> DataFrame:
     return per.join(goal, F.col("source").eqNullSafe(F.col("g_source"))).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mix_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The mix as documents: a row per document and pass that takes words of it, whose text holds these words.
+def mix_documents(docs: DataFrame, block: int = BLOCK, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The mix as documents: a row per document, pass and shard that takes words of it, whose text holds these words.
 
-    A document taken whole keeps its text; of one taken in part, the taken stretches follow each other, with their own white space.
+    A document taken whole keeps its text; of one taken in part, the taken stretches follow each other, with their own white space. Each shard has
+    the same number of partitions, the first shard the first ones, and so on.
     """
     # rows are told by doc_id, source, a hash of the text and, where these repeat, a number
     keys = ["d", "s", "t"]
@@ -148,8 +153,10 @@ def mix_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     flat = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("d").alias("doc_id"), F.col("s").alias("source"), "t", "input.text")
     sizes = durable(flat.select("rid", "doc_id", "source", "t", n_words("text").alias("size"), _place().alias("h")))
     most = sizes.groupBy("doc_id", "source", "t").count().agg(F.max("count")).first()[0] or 1
-    parts, _ = mix(sizes.drop("t"), block)
-    cuts = parts.where("took is not null").groupBy("rid", "pass", "size").agg(
+    shards = n_shards(sizes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0], shard_words=shard_words)
+    each = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    parts, _ = mix(sizes.drop("t"), block, shard_words=shard_words)
+    cuts = parts.where("took is not null").groupBy("rid", "pass", "shard", "size").agg(
         F.sum("took").alias("took"), F.sort_array(F.collect_list(F.struct("skip", "took"))).alias("cuts"))
     named = numbered(sizes.select(F.col("rid").alias("n_rid"), F.col("doc_id").alias("n_d"), F.col("source").alias("n_s"), F.col("t").alias("n_t")), ["n_d", "n_s", "n_t"], most, "n_copy")
     cuts = cuts.join(named, F.col("rid") == F.col("n_rid"))
@@ -157,7 +164,9 @@ def mix_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     words = F.regexp_extract_all(whole("input.text"), F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
     some = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice(words, (c["skip"] + 1).cast("int"), c["took"].cast("int")))), "")
     text = F.when(F.col("took") == F.col("size"), F.col("input.text")).otherwise(some)
-    return met.select(*[text.alias("text") if c == "text" else F.col(f"input.`{c}`").alias(c) for c in docs.columns])
+    dealt = (F.col("shard") * each + F.pmod(F.xxhash64("rid", "pass"), F.lit(each))).cast("int")
+    out = met.withColumn("place", dealt).repartitionById(shards * each, F.col("place"))
+    return out.select(*[text.alias("text") if c == "text" else F.col(f"input.`{c}`").alias(c) for c in docs.columns])
 
 
 @query("op3_mixing")
