@@ -25,17 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pitfeat.llm.common import LOWER, UPPER, documents, pieces, query
 from pitfeat.llm.token_files import mix64
+from pitfeat.operators.ordered import BLOCK, ordered_blocks, running_in_blocks
 from pitfeat.session import durable
 
 WORDS, LEAST, TOP, DROP_PCT, UNIT = 3, 10, 2000, 50, 1_000_000
-WINDOW_TOKENS, SLICE_BYTES, STREAM_IDS = 1 << 20, 1 << 20, 4096
+WINDOW_TOKENS, SLICE_BYTES, STREAM_IDS, NGRAM_IDS = 1 << 20, 1 << 20, 4096, 1 << 18
 SHARD_GRAMS, FILTER_GRAMS, PIECE, FAN, ROUNDS = 1 << 21, 1 << 21, 2048, 9, 4
 WINDOW_BYTES, BROADCAST_BYTES, WORD_BYTES = 32 << 20, 32 << 20, 64
-RANK_ROWS = 200_000
 
 # A-Z become a-z, what ends a piece becomes a byte that no UTF-8 has, tab becomes space.
 _BREAK = b"\xff"
@@ -245,15 +245,17 @@ def _pieces(packing: Packing, run: tuple[np.ndarray, np.ndarray, np.ndarray], de
                                           pa.array(data, pa.binary())], ["shard", "depth", "prefix", "filter"])
 
 
-def ngrams(packing: Packing, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted run of all phrases of two words and more in a stream of ids with 0 between pieces."""
-    parts = []
-    whole = ids > 0
-    for k in range(2, packing.words + 1):
-        whole = whole[:-1] & (ids[k - 1:] > 0)
-        at = np.flatnonzero(whole)
-        parts.append((*packing.pack([ids[at + j] for j in range(k)]), np.ones(len(at), np.int64)))
-    return merged(parts)
+def ngrams(packing: Packing, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Sorted runs of all phrases of two words and more in a stream of ids with 0 between pieces, some ``NGRAM_IDS`` starts at a time."""
+    for a in range(0, len(ids), NGRAM_IDS):
+        parts = []
+        some = ids[a:a + NGRAM_IDS + packing.words - 1]
+        whole = some > 0
+        for k in range(2, packing.words + 1):
+            whole = whole[:-1] & (some[k - 1:] > 0)
+            at = np.flatnonzero(whole[:NGRAM_IDS])
+            parts.append((*packing.pack([some[at + j] for j in range(k)]), np.ones(len(at), np.int64)))
+        yield merged(parts)
 
 
 class _Merger:
@@ -291,7 +293,8 @@ def _window_filters(rows: DataFrame, ids: DataFrame, packing: Packing, depth: in
             table = np.zeros(int(tokens.max(initial=0)) + 1, np.int64)
             if at:
                 table[np.concatenate(at)] = np.concatenate(found)
-            held.add(ngrams(packing, table[tokens]))
+            for grams in ngrams(packing, table[tokens]):
+                held.add(grams)
             if held.held >= FILTER_GRAMS:
                 got = held.run()
                 if len(got[0]) >= FILTER_GRAMS // 2:
@@ -405,13 +408,10 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
 
 
 def top(found: DataFrame, most: int = TOP) -> DataFrame:
-    """The first ``most`` of each language with their rank, chosen in slices first, so that no task sorts a whole language."""
-    found = durable(found)
-    slices = max(1, -(-found.count() // RANK_ROWS))
-    order = [F.col("score").desc(), F.col("a").desc(), "phrase"]
-    for by in [["lang", F.pmod(F.xxhash64("phrase"), F.lit(slices))], ["lang"]][slices == 1:]:
-        found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long")).where(F.col("rank") <= most)
-    return found
+    """The first ``most`` of each language with their rank, by running counts over ranges of the sorted table, so that no task sorts a whole language."""
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    ranked = running_in_blocks(ordered_blocks(found, ["lang"], order), ["lang"], order, {"rank": ("count", F.lit(1))}).drop(BLOCK)
+    return ranked.withColumn("rank", F.col("rank").cast("long")).where(F.col("rank") <= most)
 
 
 SQL = f"""with pieces as (

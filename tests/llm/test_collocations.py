@@ -55,7 +55,7 @@ def got(df):
 @pytest.mark.parametrize("small", [False, True])
 def test_collocations(docs, monkeypatch, small):
     if small:  # many windows, shards, rounds, pieces and slices
-        for name, value in {"WINDOW_TOKENS": 50, "SLICE_BYTES": 40, "STREAM_IDS": 7, "SHARD_GRAMS": 400, "FILTER_GRAMS": 100, "PIECE": 8, "FAN": 2, "RANK_ROWS": 20, "BROADCAST_BYTES": 0}.items():
+        for name, value in {"WINDOW_TOKENS": 50, "SLICE_BYTES": 40, "STREAM_IDS": 7, "SHARD_GRAMS": 400, "FILTER_GRAMS": 100, "PIECE": 8, "FAN": 2, "NGRAM_IDS": 11, "BROADCAST_BYTES": 0}.items():
             monkeypatch.setattr(C, name, value)
     found = C.collocations(docs)
     rows = got(found)
