@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.base import LINE, SQL_LINES, lines, query, rounded, table
 from pitfeat.operators.aggregates import best_by, class_weights, coverage_by, dedupe_first, dedupe_last, distinct_rows, first_per_key, summarise_folds
 from pitfeat.operators.joins import attach_labels, cross_grid, enrich, enrich_sides, keep_ids, keep_keys, lookup_default, new_keys
 from pitfeat.operators.quality import label_coverage
+from pitfeat.session import step_dir
+from pitfeat.sources.keyed import KeyedTable
 from pitfeat.sources.tables import distinct_keys, insert_new, latest, replace_table, upsert_last
 
 # Stored rows: orders that are not open. The new batch: urgent and high orders of any state at a new price, twice per
@@ -42,6 +46,37 @@ def upsert_unique(spark, d):
     return rounded(upsert_last(stored, fresh, ["k"], "pos", existing_unique=True))
 
 
+SQL_TWO_BATCHES = f"""with {SQL_BATCHES}, late as (select k, price + 1 as price, 0 as pos, 2 as batch from fresh where k like '%7'),
+u as (select * from stored union all select * from fresh union all select * from late),
+last as (select k, price from (select *, row_number() over (partition by k order by batch desc, pos desc, price desc) as rn from u where {VALID}) where rn = 1)"""
+
+
+@query("upsert_table_buckets", SQL_TWO_BATCHES + " select k, round(price, 6) as price from last")
+def upsert_table_buckets(spark, d):
+    """Three batches into a stored table of hash buckets, then an insert of keys that are all there."""
+    stored, fresh = _batches(spark, d)
+    table = KeyedTable(spark, f"{step_dir(spark)}/keyed-{uuid.uuid4().hex}", ["k"], 16)
+    table.upsert(stored, "pos", mark=("load", 0))
+    table.upsert(fresh, "pos", mark=("load", 1))
+    late = fresh.where("k like '%7'").withColumn("price", F.col("price") + 1).withColumn("pos", F.col("price"))
+    table.upsert(late, "pos", mark=("load", 2))
+    table.upsert(stored, "pos", mark=("load", 0))  # applied before
+    table.insert(fresh, "pos")
+    return rounded(table.read())
+
+
+@query("keyed_look_up", f"""with {SQL_BATCHES}, u as (select * from stored union all select * from fresh),
+last as (select k, price from (select *, row_number() over (partition by k order by batch desc, pos desc) as rn from u where {VALID}) where rn = 1)
+select k, round(price, 6) as price from last where k like '%11'""")
+def keyed_look_up(spark, d):
+    """Some keys of a stored table, from the buckets that they fall into."""
+    stored, fresh = _batches(spark, d)
+    table = KeyedTable(spark, f"{step_dir(spark)}/keyed-{uuid.uuid4().hex}", ["k"], 16)
+    table.replace(stored, "pos")
+    table.upsert(fresh, "pos")
+    return rounded(table.look_up(stored.unionByName(fresh).where("k like '%11'")))
+
+
 @query("insert_new", f"""with {SQL_BATCHES} select k, round(price, 6) as price, pos::bigint as pos from
   (select *, row_number() over (partition by k order by pos desc) as rn from fresh where {VALID} and k not in (select k from stored)) where rn = 1""")
 def insert_new_query(spark, d):

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pitfeat.sources.price_feed import flatten_price_feed
+from pitfeat.sources.keyed import BUCKETS, KeyedTable
 from pitfeat.sources.tables import upsert_table
 
 # Key of a stored quote.
@@ -29,3 +30,13 @@ def upsert_stream(quotes: DataFrame, root: str, checkpoint: str, keys: Sequence[
             upsert_table(batch.sparkSession, root, batch.withColumn("_at", batch[position]), list(keys), "_at")
 
     return quotes.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_stream_buckets(quotes: DataFrame, root: str, checkpoint: str, stream: str, keys: Sequence[str] = tuple(QUOTE_KEY), position: str = "book_last_update",
+                          buckets: int = BUCKETS) -> StreamingQuery:
+    """The same into a table of hash buckets, which a batch rewrites only where its keys fall. The table remembers the last batch of ``stream``, so a replay changes nothing even after others
+    have written newer rows."""
+    def fold(batch: DataFrame, number: int) -> None:
+        KeyedTable(batch.sparkSession, root, keys, buckets).upsert(batch.withColumn("_at", batch[position]), "_at", (stream, number))
+
+    return quotes.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
