@@ -14,6 +14,7 @@ from pitfeat.operators import metrics, staking
 from pitfeat.operators.calibrate import fit_isotonic, fit_platt, fit_segment_platt
 from pitfeat.operators.features import GroupImputer
 from pitfeat.operators import models as m
+from pitfeat.operators.softboost import SoftmaxTrees, fit_softmax_trees, softmax_rows
 from pitfeat.plans.train import train_stack
 from pitfeat.session import shared_dir
 
@@ -254,3 +255,63 @@ def score_stored_run(spark, d):
     edge = F.col("p") * F.col("price_1") - 1 >= staking.DEFAULT_POLICY.min_edge
     return rounded(met.select(*KEY, (F.abs(F.col("win_prob") - F.col("_win_prob")) < 1e-12).alias("same_probability"), (F.col("flag_class") == F.col("_flag_class")).alias("same_class"),
                               ((F.col("_kelly_1") > 0) == (edge & (F.col("p") > 0))).alias("staked_if_edge")))
+
+
+# --- joint multiclass boosting ---------------------------------------------------------------------------------------
+
+SQL_KIND = f"""{SQL_PRICED}, kinds as (select *, case when l_extendedprice + 9000 * price_1 > 55000 then 'high' when price_1 > price_2 then 'mid' else 'low' end as kind from priced)"""
+
+
+def _kinds(spark, d):
+    kind = F.when(F.col("l_extendedprice") + 9000 * F.col("price_1") > 55000, "high").when(F.col("price_1") > F.col("price_2"), "mid").otherwise("low")
+    return labelled(spark, d).withColumn("kind", kind)
+
+
+@query("softmax_conditions", f"with {SQL_KIND} select kind, (select count(*) from priced) as n, 0.0::double as largest_gap from kinds group by 1")
+def softmax_conditions(spark, d):
+    """After the first round of undamped steps, in every leaf of a class's tree the step times the leaf's curvature is its gradient: rows say the same as the sums that the fit saw."""
+    rows = _kinds(spark, d)
+    model = fit_softmax_trees(rows, FEATURES, "kind", rounds=1, depth=3, rate=1.0, ridge=0.0)
+    parts = []
+    for k, (kind, tree) in enumerate(zip(model.classes, model.rounds[0])):
+        node = F.lit(0)
+        for level in range(3):
+            right = [_right(model, tree, j) for j in range((1 << level) - 1, (2 << level) - 1)]
+            node = 2 * node + F.element_at(F.array(*right), node + 1)
+        p = float(softmax_rows(model.prior[None, :])[0, k])
+        leaves = rows.select(node.alias("leaf"), ((F.col("kind") == kind).cast("double") - p).alias("g")).groupBy("leaf").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("n"))
+        step = F.element_at(F.array(*[F.lit(float(v)) for v in tree.leaf]), F.col("leaf") + 1)
+        shrink = (len(model.classes) - 1) / len(model.classes)
+        gap = F.abs(step * F.col("n") * p * (1 - p) - shrink * F.col("g")) / F.col("n")
+        parts.append(leaves.agg(F.lit(kind).alias("kind"), F.sum("n").alias("n"), (F.round(F.max(gap), 9) + 0.0).alias("largest_gap")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _right(model, tree, j: int):
+    """1 where a row goes right at node ``j``, from the feature itself instead of its bin."""
+    f, cut = int(tree.feature[j]), int(tree.cut[j])
+    edges = model.edges[f]
+    if cut > len(edges):
+        return F.lit(0)
+    return (F.col(FEATURES[f]) > float(edges[cut - 1])).cast("int") if cut else F.col(FEATURES[f]).isNotNull().cast("int")
+
+
+@query("softmax_flags", f"with {SQL_KIND} select count(*) as n, count(*) as sum_to_one, true as loss_falls, true as beats_one_per_class, true as same_after_reload from kinds where {LATE}")
+def softmax_flags(spark, d):
+    """Held-out rows: the joint model has a lower loss than one model per class after as many rounds of as deep trees."""
+    rows = _kinds(spark, d)
+    past, late = rows.where("year(o_orderdate) <= 2000"), rows.where(LATE)
+    joint = fit_softmax_trees(past.withColumn("is_val", F.year("o_orderdate") == 2000), FEATURES, "kind", val_col="is_val", rounds=12, depth=3, rate=0.3)
+    apart = m.fit_trees_multiclass(past, FEATURES, "kind", balanced=False, maxIter=4, maxDepth=3, stepSize=0.3)
+    fair = fit_softmax_trees(past, FEATURES, "kind", rounds=4, depth=3, rate=0.3)
+    total = F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)
+    held = joint.transform(late, "probs").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(total - 1) < 1e-9).alias("sum_to_one"))
+    falls = all(a[0] > b[0] for a, b in zip(joint.losses, joint.losses[1:]))
+
+    def loss(model) -> float:
+        coded, _ = m.index_labels(model.transform(late, "probs"), "kind", model.classes, "code")
+        return metrics.multiclass_metrics(coded, "probs", "code").first()["log_loss"]
+
+    again = SoftmaxTrees.of(joint.text())
+    return held.withColumns({"loss_falls": F.lit(falls), "beats_one_per_class": F.lit(loss(fair) < loss(apart) and loss(joint) < loss(apart)),
+                             "same_after_reload": F.lit(loss(again) == loss(joint))})

@@ -21,6 +21,7 @@ from pitfeat.operators.aggregates import best_by, with_class_weight
 from pitfeat.operators.calibrate import Platt, apply_temperature, fit_platt, fit_temperature
 from pitfeat.operators.clean import align
 from pitfeat.operators.features import GroupImputerModel
+from pitfeat.operators.softboost import SoftmaxTrees, fit_softmax_trees
 from pitfeat.operators.splits import ts_cv
 from pitfeat.session import durable
 
@@ -217,7 +218,7 @@ class Bundle:
     stacker: PipelineModel | None = None
     threshold: float = 0.5
     calibrators: Mapping[str, Platt] = field(default_factory=dict)
-    class_models: Mapping[str, ClassTrees] = field(default_factory=dict)
+    class_models: Mapping[str, ClassTrees | SoftmaxTrees] = field(default_factory=dict)
     class_temperature: Mapping[str, float] = field(default_factory=dict)
 
     def save(self, path: str) -> None:
@@ -227,12 +228,13 @@ class Bundle:
             m.write().overwrite().save(f"{path}/base_{n}")
         if self.stacker is not None:
             self.stacker.write().overwrite().save(f"{path}/stacker")
+        joint = {t: m.text() for t, m in self.class_models.items() if isinstance(m, SoftmaxTrees)}
         for task, trees in self.class_models.items():
-            for i, m in enumerate(trees.models):
+            for i, m in enumerate([] if task in joint else trees.models):
                 m.write().overwrite().save(f"{path}/class_{task}_{i}")
         meta = {"features": list(self.features), "base": list(self.base), "stacker": self.stacker is not None, "threshold": float(self.threshold),
                 "calibrators": {n: [c.slope, c.intercept] for n, c in self.calibrators.items()}, "classes": {t: list(m.classes) for t, m in self.class_models.items()},
-                "temperatures": dict(self.class_temperature)}
+                "temperatures": dict(self.class_temperature), "joint": joint}
         spark = SparkSession.active()
         spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
@@ -240,7 +242,8 @@ class Bundle:
     def load(cls, spark: SparkSession, path: str) -> Bundle:
         """A saved bundle, complete for :func:`score`."""
         meta = json.loads(spark.read.schema("meta string").json(f"{path}/meta").first()["meta"])
-        classes = {t: ClassTrees([PipelineModel.load(f"{path}/class_{t}_{i}") for i in range(len(names))], names) for t, names in meta["classes"].items()}
+        classes = {t: ClassTrees([PipelineModel.load(f"{path}/class_{t}_{i}") for i in range(len(names))], names) for t, names in meta["classes"].items() if t not in meta.get("joint", {})}
+        classes |= {t: SoftmaxTrees.of(text) for t, text in meta.get("joint", {}).items()}
         return cls(meta["features"], GroupImputerModel.load(f"{path}/imputer"), {n: PipelineModel.load(f"{path}/base_{n}") for n in meta["base"]},
                    PipelineModel.load(f"{path}/stacker") if meta["stacker"] else None, meta["threshold"], {n: Platt(*c) for n, c in meta["calibrators"].items()}, classes, meta["temperatures"])
 
@@ -306,11 +309,11 @@ class FittedTask:
 
 
 def fit_tasks(df: DataFrame, features: Sequence[str], tasks: Sequence[Task], order: Sequence[str], k: int = FOLDS,
-              min_rows: int = MIN_TASK_ROWS, **params) -> tuple[DataFrame | None, dict[str, FittedTask]]:
+              min_rows: int = MIN_TASK_ROWS, joint: Mapping | None = None, **params) -> tuple[DataFrame | None, dict[str, FittedTask]]:
     """(fold scores, fitted tasks) of several targets over one feature table; tasks with too few labels are skipped.
 
     From the second fold on the fold before the held-out one decides when boosting stops, in the last fit the last fold does. Calibrators are fitted on the held-out
-    probabilities of all folds, so no row calibrates a model that it trained.
+    probabilities of all folds, so no row calibrates a model that it trained. With ``joint``, targets of more than two classes are boosted under one softmax loss, with these parameters.
     """
     scores, models = [], {}
     for task in tasks:
@@ -323,6 +326,8 @@ def fit_tasks(df: DataFrame, features: Sequence[str], tasks: Sequence[Task], ord
         def fit(last: int):
             part = folded.where(F.col("_fold") < last).withColumn("_stop", F.col("_fold") == last - 1)
             stop = {"val_col": "_stop"} if last > 1 else {}
+            if joint is not None and not binary:
+                return fit_softmax_trees(part, features, "_y", list(range(len(classes))), **stop, **joint)
             return fit_trees(part, features, "_y", **stop, **params) if binary else fit_trees_multiclass(part, features, "_y", list(range(len(classes))), **stop, **params)
 
         held_out = []
