@@ -1,10 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraphs, whose difference gives back the paragraphs that differ.
 
-A text of whatever length is a bag of its words and its paragraphs: lines, cut after sentences and into runs of at most ``RUN`` words. A word of over ``LONG`` bytes, as in
-scripts without spaces, counts as its runs of ``PIECE`` code points. Equal units are told apart by their number. Each 64-bit digest is added to one cell of each of three tables: a count, the sum of the digests and
+A text of whatever length is a bag of its paragraphs, large and small: runs of words, cut after a word whose own hash has ``RUN_BITS`` zero bits (16 words on average, wherever the text is
+cut or shifted), and all pairs of neighbouring words, so order counts. A word of over ``LONG`` bytes, as in scripts without spaces, counts as its pieces of ``PIECE`` code points. A
+paragraph's digest is made of its words' hashes. Equal paragraphs are told apart by their number. Each 64-bit digest is added to one cell of each of three tables: a count, the sum of the digests and
 the sum of check values. The fingerprint is the smallest sketch. Subtracting two sketches leaves the digests of one side only; a cell of
 one digest is recognised by its check value, its digest is taken out everywhere, and so on. If cells remain, both texts are sketched anew at ``GROW`` times the
-size, until nothing remains. Likeness is the shared part of both bags: 2 * common / (size + size), 1 for two empty bags.
+size, until nothing remains; the first size follows from how many of the digests with ``SAMPLE_BITS`` zero bits differ. Likeness is the shared part of both bags: 2 * common / (size + size), 1 for two empty bags.
 
 All texts of a window are sketched and peeled together, as arrays. Windows are bounded in bytes, documents and cells.
 
@@ -18,7 +19,6 @@ each come out. Nothing in, nothing out. Extra columns are not read.
 from __future__ import annotations
 
 import base64
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
@@ -32,45 +32,85 @@ from pitfeat.llm.common import WHITE, documents, pieces, query, whole
 from pitfeat.llm.token_files import mix64
 from pitfeat.session import durable
 
-TABLES, LEAST_SIDE, GROW = 3, 8, 16
-RUN, LONG, PIECE = 16, 16, 4
+TABLES, LEAST_SIDE, GROW = 3, 8, 4
+RUN_BITS, SAMPLE_BITS, LONG, PIECE = 4, 4, 16, 4
 WINDOW_BYTES, WINDOW_DOCS, WINDOW_CELLS = 4 << 20, 4096, 1 << 21
 PART_BYTES = 32 << 20
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
+class _Hashes(dict):
+    """The hash of each word met."""
 
-def paragraphs(text: str) -> list[bytes]:
-    """The words and the paragraphs of a text, by one rule for every length; without any difference for runs of white space."""
-    words, runs = [], []
-    for sentence in _SENTENCE.split(text):
-        some = sentence.encode().split()
-        words += some
-        runs += [b" ".join(some[k:k + RUN]) for k in range(0, len(some), RUN)]
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def words_of(text: bytes) -> list[bytes]:
+    words = text.split()
     if max(map(len, words), default=0) > LONG:
         words = [x for w in words for x in ([w] if len(w) <= LONG else _cut(w.decode()))]
-    return words + runs
+    return words
 
 
 def _cut(word: str) -> list[bytes]:
     return [word[k:k + PIECE].encode() for k in range(0, len(word), PIECE)]
 
 
-class _Hashes(dict):
-    """The hash of each unit met."""
-
-    def __missing__(self, unit: bytes) -> int:
-        self[unit] = h = xxhash.xxh64_intdigest(unit)
-        return h
+def paragraphs(text: str) -> list[bytes]:
+    """The paragraphs of a text, by one rule for every length; without any difference for runs of white space."""
+    words = words_of(text.encode())
+    hashes = _Hashes().of(words)
+    edges = [0, *(np.flatnonzero((hashes & np.uint64((1 << RUN_BITS) - 1)) == 0) + 1).tolist(), len(words)]
+    runs = [b" ".join(words[a:b]) for a, b in zip(edges, edges[1:]) if a < b]
+    return [b"run " + r for r in runs] + [b"pair " + a + b" " + b for a, b in zip(words, words[1:])]
+
+
+def paragraph_hashes(words: np.ndarray) -> np.ndarray:
+    """A hash for each paragraph of a text whose words have these hashes."""
+    if not len(words):
+        return words
+    cut = (words & np.uint64((1 << RUN_BITS) - 1)) == 0
+    starts = np.flatnonzero(np.r_[True, cut[:-1]])
+    sizes = np.diff(np.r_[starts, len(words)])
+    place = (np.arange(len(words)) - np.repeat(starts, sizes)).astype(np.uint64)
+    runs = mix64(np.add.reduceat(mix64(words + place * STEP, TABLES + 2), starts) + sizes.astype(np.uint64), TABLES + 3)
+    return np.concatenate([runs, mix64(mix64(words[:-1], TABLES + 4) + words[1:], TABLES + 5)])
+
+
+def _bag(words: np.ndarray) -> np.ndarray:
+    """One sorted 64-bit digest per paragraph; the k-th copy of a paragraph has a digest of its own."""
+    found = np.sort(paragraph_hashes(words))
+    again = np.r_[False, found[1:] == found[:-1]][:len(found)]
+    if not again.any():
+        return found
+    at = np.arange(len(found))
+    copy = at - np.maximum.accumulate(np.where(again, 0, at))
+    return np.sort(np.where(again, mix64(found, TABLES + 1) + copy.astype(np.uint64) * STEP, found))
 
 
 def digests(text: str, hashes: _Hashes | None = None) -> np.ndarray:
-    """One 64-bit digest per unit; the k-th copy of a unit has a digest of its own."""
-    units = paragraphs(text)
-    found = np.sort(np.fromiter(map((_Hashes() if hashes is None else hashes).__getitem__, units), np.uint64, len(units)))
-    at = np.arange(len(found))
-    copy = at - np.maximum.accumulate(np.where(np.r_[True, found[1:] != found[:-1]][:len(found)], at, 0))
-    return np.where(copy > 0, mix64(found, TABLES + 1) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), found)
+    """The digests of a text's paragraphs."""
+    return _bag((_Hashes() if hashes is None else hashes).of(words_of(text.encode())))
+
+
+def _edited_words(words: np.ndarray, text: bytes, changed: bytes, hashes: _Hashes) -> np.ndarray:
+    """Hashes of the words of an edited text; those before the last white space that both texts share are taken over."""
+    n = min(len(text), len(changed))
+    shared = n - n // 3  # the edit leaves three quarters of the code points; a cut that is not shared is found by comparing
+    while shared and text[:shared] != changed[:shared]:
+        shared //= 2
+    cut = max((text.rfind(c, 0, shared) for c in WHITE_BYTES), default=-1)
+    if cut < 0:
+        return hashes.of(words_of(changed))
+    return np.concatenate([words[:len(words) - len(words_of(text[cut:]))], hashes.of(words_of(changed[cut:]))])
+
+
+WHITE_BYTES = [c.encode() for c in WHITE]
 
 
 class Sketches:
@@ -101,6 +141,13 @@ class Sketches:
         out.count, out.key, out.check = self.count - other.count, self.key - other.key, self.check - other.check
         return out
 
+    def part(self, a: int, b: int) -> Sketches:
+        out = Sketches(0, self.side)
+        out.n = b - a
+        some = slice(a * self.cells, b * self.cells)
+        out.count, out.key, out.check = self.count[some], self.key[some], self.check[some]
+        return out
+
     def text(self, k: int) -> str:
         a = slice(k * self.cells, (k + 1) * self.cells)
         return base64.b64encode(np.stack([self.count[a].view(np.uint64), self.key[a], self.check[a]], 1).tobytes()).decode()
@@ -108,7 +155,7 @@ class Sketches:
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Takes all digests out that can be recognised: (text, digest, sign) of each, and for each text whether nothing remains."""
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        todo, touched = np.flatnonzero(np.abs(self.count) == 1), np.zeros(len(self.count), bool)
+        todo = np.flatnonzero(np.abs(self.count) == 1)
         while len(todo):
             sign = self.count[todo]
             digest = self.key[todo] * sign.astype(np.uint64)
@@ -122,10 +169,7 @@ class Sketches:
                 break
             found.append((owner, digest, sign))
             self.add(owner, digest, -sign)
-            touched[:] = False
-            for at in self.places(owner, digest):
-                touched[at] = True
-            todo = np.flatnonzero(touched)
+            todo = np.concatenate(list(self.places(owner, digest)))
         rest = (self.count != 0) | (self.key != 0) | (self.check != 0)
         clear = ~rest.reshape(self.n, self.cells).any(axis=1)
         got = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
@@ -145,9 +189,12 @@ def differences(left: list[np.ndarray], right: list[np.ndarray], first: Sketches
     ``first``: the difference of the smallest sketches, if it is there already.
     """
     out: list = [None] * len(left)
-    todo, side = list(range(len(left))), LEAST_SIDE
-    while todo:
-        failed = []
+    sizes: dict[int, list[int]] = {}
+    for i, (a, b) in enumerate(zip(left, right)):
+        sizes.setdefault(_first_side(a, b), []).append(i)
+    while sizes:
+        side = min(sizes)
+        todo = sizes.pop(side)
         each = max(1, WINDOW_CELLS // (TABLES * side))
         for k in range(0, len(todo), each):
             some = todo[k:k + each]
@@ -162,11 +209,19 @@ def differences(left: list[np.ndarray], right: list[np.ndarray], first: Sketches
                     d, s = digest[edges[j]:edges[j + 1]], sign[edges[j]:edges[j + 1]]
                     out[i] = d[s > 0], d[s < 0]
                 else:
-                    failed.append(i)
-        todo, side = failed, side * GROW
+                    sizes.setdefault(side * GROW, []).append(i)
     return out
 
 
+def _first_side(a: np.ndarray, b: np.ndarray) -> int:
+    """Side of tables that hold about as many digests as differ, judged by those with ``SAMPLE_BITS`` zero bits."""
+    mask = np.uint64((1 << SAMPLE_BITS) - 1)
+    some = np.sort(np.concatenate([a[a & mask == 0], b[b & mask == 0]]))
+    lone = len(some) - 2 * int((some[1:] == some[:-1]).sum())
+    need = max(abs(len(a) - len(b)), lone << SAMPLE_BITS) // 2  # three tables of this side: one and a half cells a digest
+    return max(LEAST_SIDE, 1 << max(0, need - 1).bit_length())
+
+
 def likeness(left: list[np.ndarray], right: list[np.ndarray], first: Sketches | None = None) -> np.ndarray:
     lone = np.array([len(a) + len(b) for a, b in differences(left, right, first)], np.float64)
     total = np.array([len(a) + len(b) for a, b in zip(left, right)], np.float64)
@@ -184,9 +239,13 @@ def _rows(docs: list[tuple[int | None, str]], following: str) -> pa.RecordBatch:
     texts = [t for _, t in docs]
     changed = [edited(t, n) for t, n in zip(texts, [*texts[1:], following])]
     hashes = _Hashes()
-    bags, new_bags = [digests(t, hashes) for t in [*texts, following]], [digests(t, hashes) for t in changed]
+    data = [t.encode() for t in [*texts, following]]
+    words = [hashes.of(words_of(x)) for x in data]
+    bags = [_bag(w) for w in words]
+    new_bags = [_bag(_edited_words(w, x, t.encode(), hashes)) for w, x, t in zip(words, data, changed)]
     own, after = bags[:-1], bags[1:]
-    base, new_base, after_base = sketches(own), sketches(new_bags), sketches(after)
+    every, new_base = sketches(bags), sketches(new_bags)
+    base, after_base = every.part(0, len(own)), every.part(1, len(bags))
     columns = [
         pa.array([k for k, _ in docs], pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array([sha256(t.encode()).hexdigest() for t in changed]),
         pa.array([base.text(k) for k in range(len(docs))]), pa.array([new_base.text(k) for k in range(len(docs))]),
