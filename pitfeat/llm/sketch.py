@@ -37,6 +37,8 @@ RUN_BITS, SAMPLE_BITS, LONG, PIECE = 4, 4, 16, 4
 WINDOW_BYTES, WINDOW_DOCS, WINDOW_CELLS = 4 << 20, 4096, 1 << 21
 PART_BYTES = 32 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
+COUNT_BITS = 24
+COUNT = np.uint64((1 << COUNT_BITS) - 1)
 
 
 class _Hashes(dict):
@@ -114,52 +116,64 @@ WHITE_BYTES = [c.encode() for c in WHITE]
 
 
 class Sketches:
-    """Sketches of ``n`` texts with three tables of ``side`` cells (a power of 2) each."""
+    """Sketches of ``n`` texts with three tables of ``side`` cells (a power of 2) each.
+
+    A cell has two sums: of digests, and of tags, which are check values above a count of ``COUNT_BITS`` bits.
+    """
 
     def __init__(self, n: int, side: int) -> None:
         self.n, self.side, self.cells = n, side, TABLES * side
-        self.count = np.zeros(n * self.cells, np.int64)
         self.key = np.zeros(n * self.cells, np.uint64)
-        self.check = np.zeros(n * self.cells, np.uint64)
+        self.tag = np.zeros(n * self.cells, np.uint64)
 
     def places(self, owner: np.ndarray, digest: np.ndarray) -> Iterator[np.ndarray]:
+        mask, base = np.uint64(self.side - 1), owner * self.cells
+        mixed = mix64(digest, 0)
         for j in range(TABLES):
-            yield owner * self.cells + j * self.side + (mix64(digest, j) & np.uint64(self.side - 1)).astype(np.int64)
-
-    def add(self, owner: np.ndarray, digest: np.ndarray, sign: np.ndarray | int = 1) -> None:
-        """``sign``: 1 adds, -1 takes out."""
-        step = np.broadcast_to(np.asarray(sign, np.int64), digest.shape)
-        factor = step.astype(np.uint64)  # -1 as the number that adds up to 0
-        check = mix64(digest, TABLES) >> np.uint64(32)
-        for at in self.places(owner, digest):
-            np.add.at(self.count, at, step)
-            np.add.at(self.key, at, digest * factor)
-            np.add.at(self.check, at, check * factor)
+            part = mixed >> np.uint64(21 * j) if self.side <= 1 << 21 else mix64(digest, 10 + j)
+            yield base + j * self.side + (part & mask).astype(np.int64)
+
+    def add(self, owner: np.ndarray, digest: np.ndarray, sign: np.ndarray | None = None) -> list[np.ndarray]:
+        """Adds digests, or takes those of ``sign`` -1 out; returns their cells."""
+        tag = _tag(digest)
+        if sign is not None:
+            factor = sign.astype(np.uint64)  # -1 as the number that adds up to 0
+            digest, tag, plain = digest * factor, tag * factor, digest
+        else:
+            plain = digest
+        cells = list(self.places(owner, plain))
+        for at in cells:
+            np.add.at(self.key, at, digest)
+            np.add.at(self.tag, at, tag)
+        return cells
 
     def minus(self, other: Sketches) -> Sketches:
-        out = Sketches(self.n, self.side)
-        out.count, out.key, out.check = self.count - other.count, self.key - other.key, self.check - other.check
+        out = self.part(0, 0)
+        out.n, out.key, out.tag = self.n, self.key - other.key, self.tag - other.tag
         return out
 
     def part(self, a: int, b: int) -> Sketches:
         out = Sketches(0, self.side)
-        out.n = b - a
         some = slice(a * self.cells, b * self.cells)
-        out.count, out.key, out.check = self.count[some], self.key[some], self.check[some]
+        out.n, out.key, out.tag = b - a, self.key[some], self.tag[some]
         return out
 
     def text(self, k: int) -> str:
         a = slice(k * self.cells, (k + 1) * self.cells)
-        return base64.b64encode(np.stack([self.count[a].view(np.uint64), self.key[a], self.check[a]], 1).tobytes()).decode()
+        return base64.b64encode(np.stack([self.tag[a], self.key[a]], 1).tobytes()).decode()
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Takes all digests out that can be recognised: (text, digest, sign) of each, and for each text whether nothing remains."""
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        todo = np.flatnonzero(np.abs(self.count) == 1)
+        todo = np.flatnonzero(self.tag)
         while len(todo):
-            sign = self.count[todo]
-            digest = self.key[todo] * sign.astype(np.uint64)
-            pure = (np.abs(sign) == 1) & (mix64(digest, TABLES) >> np.uint64(32) == self.check[todo] * sign.astype(np.uint64))
+            count = self.tag[todo] & COUNT
+            lone = (count == 1) | (count == COUNT)
+            todo, count = todo[lone], count[lone]
+            sign = np.where(count == 1, 1, -1)
+            factor = sign.astype(np.uint64)
+            digest = self.key[todo] * factor
+            pure = _tag(digest) == self.tag[todo] * factor
             owner, digest, sign = todo[pure] // self.cells, digest[pure], sign[pure]
             order = np.lexsort((digest, owner))
             owner, digest, sign = owner[order], digest[order], sign[order]
@@ -168,14 +182,17 @@ class Sketches:
             if not len(owner):
                 break
             found.append((owner, digest, sign))
-            self.add(owner, digest, -sign)
-            todo = np.concatenate(list(self.places(owner, digest)))
-        rest = (self.count != 0) | (self.key != 0) | (self.check != 0)
-        clear = ~rest.reshape(self.n, self.cells).any(axis=1)
+            todo = np.concatenate(self.add(owner, digest, -sign))
+        clear = ~((self.tag != 0) | (self.key != 0)).reshape(self.n, self.cells).any(axis=1)
         got = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)]
         return *got, clear
 
 
+def _tag(digest: np.ndarray) -> np.ndarray:
+    """A check value of 40 bits, and the count 1."""
+    return mix64(digest, TABLES) & ~COUNT | np.uint64(1)
+
+
 def sketches(bags: list[np.ndarray], side: int = LEAST_SIDE) -> Sketches:
     out = Sketches(len(bags), side)
     if bags:
