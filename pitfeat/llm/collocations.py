@@ -34,8 +34,8 @@ from pitfeat.session import durable
 
 WORDS, LEAST, TOP, DROP_PCT, UNIT = 3, 10, 2000, 50, 1_000_000
 WINDOW_TOKENS, SLICE_BYTES, STREAM_IDS, NGRAM_IDS = 1 << 20, 1 << 20, 4096, 1 << 18
-SHARD_GRAMS, FILTER_GRAMS, PIECE, FAN, ROUNDS = 1 << 21, 1 << 21, 2048, 9, 4
-WINDOW_BYTES, BROADCAST_BYTES, WORD_BYTES = 32 << 20, 32 << 20, 64
+SHARD_GRAMS, FILTER_GRAMS, PIECE, FAN, ROUNDS = 1 << 21, 1 << 20, 2048, 9, 4
+WINDOW_BYTES, BROADCAST_BYTES, WORD_BYTES, MOST_TASKS = 32 << 20, 32 << 20, 64, 1 << 14
 
 # A-Z become a-z, what ends a piece becomes a byte that no UTF-8 has, tab becomes space.
 _BREAK = b"\xff"
@@ -295,11 +295,11 @@ def _window_filters(rows: DataFrame, ids: DataFrame, packing: Packing, depth: in
                 table[np.concatenate(at)] = np.concatenate(found)
             for grams in ngrams(packing, table[tokens]):
                 held.add(grams)
-            if held.held >= FILTER_GRAMS:
-                got = held.run()
-                if len(got[0]) >= FILTER_GRAMS // 2:
-                    yield from _pieces(packing, got, depth)
-                    held.__init__()
+                if held.held >= FILTER_GRAMS:
+                    got = held.run()
+                    if len(got[0]) >= FILTER_GRAMS // 2:
+                        yield from _pieces(packing, got, depth)
+                        held.__init__()
 
         for batch in batches:
             win = batch.column("win").to_numpy()
@@ -335,23 +335,25 @@ def _shard_runs(batches: Iterator[pa.RecordBatch], packing: Packing, most: int |
     yield held.run()
 
 
-def _dealt(filters: DataFrame) -> DataFrame:
-    return filters.repartition(pieces(filters, WINDOW_BYTES), "shard").sortWithinPartitions("shard")
+def _dealt(filters: DataFrame, depth: int) -> DataFrame:
+    """Filters by shard, some shards a task."""
+    least = int(filters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return filters.repartition(max(least, min(1 << depth, MOST_TASKS)), "shard").sortWithinPartitions("shard")
 
 
 def counted(rows: DataFrame, ids: DataFrame, packing: Packing, grams: int, least: int) -> DataFrame:
     """ids (array) and a of every phrase of two words and more that occurs ``least`` times; ``grams``: a bound on the occurrences of all."""
     bits = min(packing.high, max(0, (-(-grams // SHARD_GRAMS) - 1).bit_length()))
     depth = min(FAN, bits)
-    filters = durable(_window_filters(rows, ids, packing, depth))
+    filters = _window_filters(rows, ids, packing, depth)
     while depth < bits:
-        depth = min(depth + FAN, bits)
+        filters, depth = _dealt(durable(filters), depth), min(depth + FAN, bits)
 
         def split(batches: Iterator[pa.RecordBatch], depth: int = depth) -> Iterator[pa.RecordBatch]:
             for run in _shard_runs(batches, packing, FILTER_GRAMS):
                 yield from _pieces(packing, run, depth)
 
-        filters = durable(_dealt(filters).mapInArrow(split, PIECES_DDL))
+        filters = filters.mapInArrow(split, PIECES_DDL)
 
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hi, lo, n in _shard_runs(batches, packing, None):
@@ -363,7 +365,7 @@ def counted(rows: DataFrame, ids: DataFrame, packing: Packing, grams: int, least
                 offsets = np.r_[0, np.cumsum(used.sum(1))].astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(words[used])), pa.array(n[some])], ["ids", "a"])
 
-    return durable(_dealt(filters).mapInArrow(out, "ids array<long>, a long"))
+    return durable(_dealt(filters, bits).mapInArrow(out, "ids array<long>, a long"))
 
 
 def frequent_words(rows: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
