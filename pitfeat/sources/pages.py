@@ -9,6 +9,7 @@ from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pitfeat.functions.dates import parse_date
 from pitfeat.functions.text import norm_key, split_x_of_y, strip
 from pitfeat.operators.aggregates import dedupe_first
 
@@ -22,9 +23,6 @@ CELL_POSITION = {"knockdowns": 2, "sig_strikes": 4, "total_strikes": 8, "takedow
 PAIR_CELLS = ["sig_strikes", "total_strikes", "takedown"]
 MATCH_MARKER = "fight-details"
 
-# Spellings of dates in listings, after weekdays, ordinal endings, full stops and commas are taken out.
-DATE_FORMATS = ["MMMM d yyyy", "MMM d yyyy", "d MMMM yyyy", "d MMM yyyy", "yyyy-M-d", "yyyy/M/d", "M/d/yyyy"]
-
 # A link's address: quoted either way, or bare.
 HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
@@ -61,13 +59,6 @@ def elements(html: Column, tag: str, css_class: str | None = None) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?=[\s>]){attrs}>(.*?)</{tag}\s*>"), F.lit(1))
 
 
-def parse_date(c: Column) -> Column:
-    plain = F.regexp_replace(c, r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?\b", " ")
-    plain = F.regexp_replace(F.regexp_replace(plain, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1"), r"(?i)\bsept\b", "Sep")
-    plain = F.btrim(F.regexp_replace(plain, r"[.,\s]+", " "))
-    return F.coalesce(*[F.try_to_timestamp(plain, F.lit(f)) for f in DATE_FORMATS], F.try_to_timestamp(c)).cast("date")
-
-
 def extract_listing(pages: DataFrame, page: str = "page_id", html: str = "html", row: tuple[str, str | None] = LISTING_ROW) -> DataFrame:
     """Listed events: link and title of the first anchor with a link, and the date, of each row of a listing page; rows lacking any of them are dropped."""
     rows = pages.select(F.col(page), F.posexplode(elements(F.col(html), *row)).alias("position", "_row"))
