@@ -4,11 +4,12 @@ A text's features are its words, hashed to ``WORDS`` buckets with weights 1 + lo
 (shares of symbols, capitals, digits, repeated words and lines, mean lengths) and its size (code points, words, lines), each as a hat function over a few fixed knots. The score
 is the logistic of bias + linear part + pairwise interactions of rank ``RANK``; by sum over f of (sum v x)^2 - sum (v x)^2, halved, it takes time linear in the features.
 
-Fitting uses a bounded sample: of the labelled rows allowed to train, the ``SAMPLE`` with the smallest hash of doc_id per label, each label weighing the same in total.
+Fitting uses a bounded sample: of the labelled rows allowed to train, the ``SAMPLE`` with the smallest hash of doc_id per label, each label weighing the same in total; however many rows an id
+has, at most ``SAMPLE`` different texts per label reach the driver.
 The features of their whole texts, of which a text has at most ``SIZE``, are fitted by a fixed number of mini-batch steps on the driver.
 Scoring is one pass over all documents; the model is a few megabytes whatever the corpus. Labels, language, source and doc_id are never features.
 
-Edge cases. Null or empty text has only its statistics and size. Labels may repeat (each row counts) or miss their document; null qualities don't train. With labels of one kind or
+Edge cases. Null or empty text has only its statistics and size. Labels and rows may repeat (equal text, id and label train once) or miss each other; null qualities don't train. With labels of one kind or
 none, all scores are the share of label 1 (0.5 without labels). Equal texts get equal scores. Nothing in, nothing out. Extra columns are not read.
 """
 
@@ -22,7 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pitfeat.llm.common import crc_mod, documents, query, small
+from pitfeat.llm.common import crc_mod, documents, query, small, whole
+from pitfeat.session import durable
 
 WORDS, RANK, SEED = 1 << 14, 8, 5
 SAMPLE = 2000
@@ -123,16 +125,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """``labels``: the rows that may train."""
     usable = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("label")).where("l_id is not null and label in (0, 1)")
     chosen = usable.where("label = 1").orderBy(F.xxhash64("l_id"), "l_id").limit(sample).unionAll(usable.where("label = 0").orderBy(F.xxhash64("l_id"), "l_id").limit(sample))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("l_id"))  # at most 2 * sample ids
+    texts = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+    # an id may have any number of rows: equal ones train once, and of the different ones no more than the sample are taken
+    met = durable(texts.select("id", "h").join(F.broadcast(chosen), F.col("id") == F.col("l_id")).select("id", "h", "label").distinct())  # at most 2 * sample ids
+    order = [F.xxhash64("id"), "id", "h"]
+    kept = met.where("label = 1").orderBy(*order).limit(sample).unionAll(met.where("label = 0").orderBy(*order).limit(sample))
+    rows = texts.join(F.broadcast(kept.withColumnsRenamed({"id": "k_id", "h": "k_h"})), (F.col("id") == F.col("k_id")) & (F.col("h") == F.col("k_h")))  # at most 2 * sample rows
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [features(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([
-                batch.column("id").cast(pa.int64()), batch.column("label"), pa.array([i.astype(np.int32).tobytes() for i, _ in made], pa.binary()),
-                pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary())], ["id", "label", "i", "v"])
+                batch.column("id").cast(pa.int64()), batch.column("h"), batch.column("label"), pa.array([i.astype(np.int32).tobytes() for i, _ in made], pa.binary()),
+                pa.array([v.astype(np.float32).tobytes() for _, v in made], pa.binary())], ["id", "h", "label", "i", "v"])
 
-    got = rows.select(F.col("id").cast("long").alias("id"), "label", "text").mapInArrow(make, "id long, label int, i binary, v binary").collect()
+    made = rows.select(F.col("id").cast("long").alias("id"), "h", "label", "text").mapInArrow(make, "id long, h long, label int, i binary, v binary")
+    got = made.groupBy("id", "h", "label").agg(F.first("i").alias("i"), F.first("v").alias("v")).collect()
     got.sort(key=lambda r: (r.id, r.label, r.i, r.v))
     return fit([(np.frombuffer(r.i, np.int32).astype(np.int64), np.frombuffer(r.v, np.float32).astype(np.float64)) for r in got], np.array([r.label for r in got], np.float64))
 
