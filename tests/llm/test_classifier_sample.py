@@ -18,7 +18,7 @@ def seen(monkeypatch):
 
 def test_an_id_with_very_many_rows(spark, seen):
     docs = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 500).cast("string")).alias("text"), F.lit(1).alias("h"), F.lit(1).alias("label"))
-    docs = docs.unionAll(spark.createDataFrame([(k, f"other {k}", 1, 1) for k in range(20, 40)], docs.schema)).unionAll(spark.createDataFrame([(None, "x", 1, 1), (8, None, 1, 1)], docs.schema))
+    docs = docs.unionAll(spark.createDataFrame([(k, f"other {k}", 1, 1) for k in range(20, 40)], "doc_id long, text string, h int, label int")).unionAll(spark.createDataFrame([(None, "x", 1, 1), (8, None, 1, 1)], "doc_id long, text string, h int, label int"))
     labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (None, 0), *((k, k % 2) for k in range(20, 40))], "doc_id long, quality int")
     factorisation.train(docs, labels, sample=15)
     assert len(seen[0]) == 15 + 11 and sum(seen[0]) == 15
