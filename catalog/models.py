@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from functools import reduce
@@ -16,7 +17,8 @@ from pitfeat.operators.features import GroupImputer
 from pitfeat.operators import models as m
 from pitfeat.operators.softboost import SoftmaxTrees, fit_softmax_trees, softmax_rows
 from pitfeat.plans.train import train_stack
-from pitfeat.session import shared_dir
+from pitfeat.session import shared_dir, step_dir
+from pitfeat.sources.runs import Runs
 
 FEATURES = ["p", "l_extendedprice", "price_1", "price_2", "l_discount"]
 KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -315,3 +317,35 @@ def softmax_flags(spark, d):
     again = SoftmaxTrees.of(joint.text())
     return held.withColumns({"loss_falls": F.lit(falls), "beats_one_per_class": F.lit(loss(fair) < loss(apart) and loss(joint) < loss(apart)),
                              "same_after_reload": F.lit(loss(again) == loss(joint))})
+
+
+@query("registered_run", f"with {SQL_PRICED} select {', '.join(KEY).replace('l_linenumber', 'l_linenumber::bigint as l_linenumber')}, 2::bigint as run, true as same_probability from priced where {LATE}")
+def registered_run(spark, d):
+    """Train, register, resolve, score: two runs are recorded, a third fails while saving; the latest is the second, and scores as it did in memory."""
+    rows = labelled(spark, d)
+    past, future = rows.where("year(o_orderdate) <= 2000"), rows.where(LATE)
+    imputer = GroupImputer(inputCols=FEATURES, indicators=False).fit(past)
+    runs = Runs(spark, f"{step_dir(spark)}/registry-{uuid.uuid4().hex}")
+    bundles = [m.Bundle(FEATURES, imputer, {"a": m.fit_logistic(past, some, "y")}) for some in (FEATURES[:2], FEATURES)]
+
+    def saved(bundle: m.Bundle, fails: bool = False):
+        def save(path: str) -> list[str]:
+            bundle.save(f"{path}/bundle")
+            if fails:
+                raise InterruptedError("lost while saving")
+            return ["bundle"]
+
+        return save
+
+    for day, bundle in enumerate(bundles, 1):
+        runs.record("winner", saved(bundle), {"features": len(FEATURES)}, dt.datetime(2024, 1, day))
+    try:
+        runs.record("winner", saved(bundles[0], fails=True), {}, dt.datetime(2024, 2, 1))
+    except InterruptedError:
+        pass
+    run = runs.latest("winner")
+    keep = [*KEY, "l_extendedprice"]
+    mine = m.score(future, bundles[1], keep)
+    again = m.score(future, m.Bundle.load(spark, run.part("bundle")), keep).select(*[F.col(c).alias(f"_{c}") for c in [*keep, "win_prob"]])
+    met = mine.join(again, [mine[c] == again[f"_{c}"] for c in keep])
+    return rounded(met.select(*KEY, F.lit(run.number).cast("long").alias("run"), (F.abs(F.col("win_prob") - F.col("_win_prob")) < 1e-12).alias("same_probability")))
