@@ -75,7 +75,7 @@ def want():
     return plain(rebuild(odd_conversations()))
 
 
-@pytest.mark.parametrize("segment, part, hot", [(4096, 8 << 20, C.HOT_ROWS), (4096, 200, 50), (64, 500, 50), (100, 8 << 20, C.HOT_ROWS)])
+@pytest.mark.parametrize("segment, part, hot", [(4096, 8 << 20, C.HOT_ROWS), (4096, 200, 50), (64, 500, 50)])
 def test_trie(spark, monkeypatch, want, segment, part, hot):
     monkeypatch.setattr(C, "PART_BYTES", part)
     got = built(spark, odd_conversations(), segment, hot)
