@@ -1,18 +1,20 @@
 """LM scoring by a hierarchical Pitman-Yor model: context restaurants share a parent, seatings are sampled by Gibbs sweeps, predictions averaged.
 
-A token's context is the word before it, as one of ``CONTEXTS`` hash classes; each class is a restaurant whose dishes are words, and new tables draw their dish from the
-root restaurant, whose own base is uniform over all training words and one for the unknown. A sweep seats the customers of every dish anew, one
-after another, given the tables of all other dishes: table counts per context and the root's probabilities, as of the sweep before. From the
-``EXACT``-th customer of a dish on they are seated in blocks of 1/32 of those seated, by binomial draws. A dish with one customer has one table.
-Concentrations are drawn on a grid from their likelihood given the tables; discounts follow from the words met once and twice.
+A token's context is the word before it, the end mark at the start of a text; every different word is a restaurant of its own, so what is learnt grows with the
+corpus. A restaurant's dishes are words, and new tables draw their dish from the root restaurant, whose own base is uniform over all training words and one for the unknown.
+A sweep seats the customers of every dish anew, one after another, given the tables of all other dishes: table counts of the restaurant and the root's
+probabilities, as of the sweep before. From the ``EXACT``-th customer of a dish on they are seated in blocks of 1/32 of those seated, by binomial draws. A dish with one
+customer has one table. Concentrations are drawn on a grid from their likelihood given the tables; discounts follow from the words met once and twice.
 
 Data flow. Tokens are counted in groups of ``GROUP_BYTES``: each different (word, context) is asked for once per group, in one block per bucket of words, with its count in
-the group's training documents. A bucket holds all contexts of its words, so the root's counts are local, and a word that makes up a third of all tokens sends
-at most ``CONTEXTS`` pairs per group. What is global fits in a vector per context class and a few totals, summed by Spark and sent with the next sweep. A sweep is a
-pure function of the bucket, its seed and these vectors, so earlier sweeps are replayed instead of stored, on whatever executor. At the end each bucket
-answers every group's questions, and documents are summed where answers meet the group's recipe.
+the group's training documents. A bucket owns its words twice: as dishes, in all contexts, so that the root's counts are local; and as restaurants, whose customers
+are the word's own count. A sweep is two exchanges between buckets: a bucket seats its dishes and sends the tables of each restaurant, summed, to the restaurant's
+bucket, which adds them up and sends the total back to those that asked. Only dishes with two customers or more take part; the others are counted
+once. Each sweep's seating is a stored table with one row per bucket. The driver sees totals and a likelihood per grid point, whatever the number of restaurants.
+At the end each bucket answers every group's questions, and documents are summed where answers meet the group's recipe. A word that makes up a third of all
+tokens is one entry per group as a dish or a restaurant, and one sum per bucket and sweep.
 
-Words are told apart by 64-bit hashes.
+Words are told apart by 64-bit hashes. Two readings of the input must give the same rows in the same order, as stored tables do.
 
 Edge cases. Null or empty text is one end token. A null doc_id trains. Without training documents all probabilities are those of the unknown word. Equal rows each come out;
 all of them train. Nothing in, nothing out. Extra columns are not read.
@@ -23,6 +25,7 @@ from __future__ import annotations
 import math
 import pickle
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +36,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pitfeat.llm.common import crc_mod, documents, pieces, query, small
 from pitfeat.session import durable
 
-CONTEXTS = 4096  # and one for the start of a text
 GROUP_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 BURN_IN, SAMPLES, SEED = 2, 3, 11
 EXACT, BLOCK = 64, 32
-END_HASH = (1 << 64) - 1
+END_HASH = (1 << 64) - 1  # the end of a text; as a context, the start of one
 ADD = 0.1
 GRID = np.exp(np.linspace(math.log(0.1), math.log(1e6), 60))
-WIDTH = CONTEXTS + 1
+OWN, RECIPE = -1, -1  # senders of a bucket's own state and of a group's recipe: before all buckets
+MESSAGES = "bucket long, sender long, block binary, sums array<double>"
 
 
 def _pack(things, level: int = 3) -> bytes:
@@ -58,7 +61,7 @@ class _Numbers(dict):
 
 
 class Group:
-    """The tokens of some documents as numbers of different (word, context) pairs, in the order of bucket, word hash and context."""
+    """The tokens of some documents as ranks of the group's words, which are in the order of bucket and hash."""
 
     def __init__(self, texts: list[str], train: list[bool], buckets: int) -> None:
         numbers = _Numbers()
@@ -72,28 +75,31 @@ class Group:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         end = np.array([len(hashes) - 1])
-        token = np.concatenate([x for p in parts for x in (p, end)]) if parts else end[:0]
-        self.lengths = np.array(lengths, np.int64)
-        starts = np.cumsum(self.lengths) - self.lengths
-        context = np.empty(len(token), np.int64)
-        context[1:] = (hashes % np.uint64(CONTEXTS * 2 + 1) % np.uint64(CONTEXTS)).astype(np.int64)[token[:-1]]
-        context[starts] = CONTEXTS
-        self.pairs, at = np.unique(rank[token] * WIDTH + context, return_inverse=True)
-        self.doc = np.repeat(np.arange(len(texts)), self.lengths)
-        self.at = np.sort(self.doc << 32 | at) & 0xFFFFFFFF  # per document in order
-        self.count = np.bincount(at[np.repeat(np.array(train, bool), self.lengths)], minlength=len(self.pairs))
-        self.words = hashes[order]
+        self.token = rank[np.concatenate([x for p in parts for x in (p, end)]) if parts else end[:0]].astype(np.uint32)
+        self.lengths, self.train = np.array(lengths, np.int64), np.array(train, bool)
+        self.words, self.end = hashes[order], int(rank[end[0]])
         self.bucket = (self.words % np.uint64(buckets)).astype(np.int64)
 
     def questions(self) -> Iterator[tuple[int, tuple]]:
-        """(bucket, (word hashes, pairs per word, contexts, counts))."""
-        word, context = self.pairs // WIDTH, (self.pairs % WIDTH).astype(np.uint16)
+        """(bucket, (word hashes, pairs per word, context hashes, counts))."""
+        pairs, at = pairs_of(self.token, self.lengths, self.end, len(self.words))
+        count = np.bincount(at[np.repeat(self.train, self.lengths)], minlength=len(pairs)).astype(np.uint32)
+        word, context = pairs // len(self.words), pairs % len(self.words)
         per_word = np.bincount(word, minlength=len(self.words)).astype(np.uint32)
-        edges = np.searchsorted(self.bucket, np.arange(self.bucket[-1] + 2)) if len(self.bucket) else np.zeros(1, np.int64)
+        some = np.unique(self.bucket)
+        edges = np.searchsorted(self.bucket, np.append(some, some[-1] + 1))
         cuts = np.searchsorted(word, edges)
-        for b in np.unique(self.bucket).tolist():
-            w, p = slice(edges[b], edges[b + 1]), slice(cuts[b], cuts[b + 1])
-            yield b, (self.words[w], per_word[w], context[p], self.count[p].astype(np.uint32))
+        for k, b in enumerate(some.tolist()):
+            w, p = slice(edges[k], edges[k + 1]), slice(cuts[k], cuts[k + 1])
+            yield b, (self.words[w], per_word[w], self.words[context[p]], count[p])
+
+
+def pairs_of(token: np.ndarray, lengths: np.ndarray, end: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different word * ``words`` + context of some documents, sorted, and each token's place among them."""
+    before = np.empty(len(token), np.int64)
+    before[1:] = token[:-1]
+    before[np.cumsum(lengths) - lengths] = end
+    return np.unique(token.astype(np.int64) * words + before, return_inverse=True)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[int, list, list[bool], Group]]:
@@ -114,39 +120,21 @@ def _grouped(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[tuple[
         yield part << 32 | n, keys, held, Group(texts, [not x for x in held], buckets)
 
 
-class Bucket:
-    """All pairs of a bucket's words: the dishes (pairs with customers) sorted by word and context."""
-
-    def __init__(self, words: np.ndarray, word: np.ndarray, context: np.ndarray, count: np.ndarray) -> None:
-        self.words, self.word, self.context, self.count = words, word, context, count
-
-    @classmethod
-    def merge(cls, questions: list[tuple]) -> Bucket:
-        words = np.unique(np.concatenate([q[0] for q in questions]))
-        code = np.concatenate([np.repeat(np.searchsorted(words, q[0]), q[1]) * WIDTH + q[2] for q in questions])
-        count = np.concatenate([q[3] for q in questions])
-        code, count = code[count > 0], count[count > 0]
-        pairs, at = np.unique(code, return_inverse=True)
-        total = np.bincount(at, weights=count, minlength=len(pairs)).astype(np.int64)
-        return cls(words, pairs // WIDTH, pairs % WIDTH, total)
-
-    def packed(self) -> bytes:
-        return _pack((self.words, self.word.astype(np.uint32), self.context.astype(np.uint16), self.count))
-
-    @classmethod
-    def unpacked(cls, data: bytes) -> Bucket:
-        words, word, context, count = _unpack(data)
-        return cls(words, word.astype(np.int64), context.astype(np.int64), count)
+class Model(NamedTuple):
+    """What is known of the whole corpus before a sweep: a few numbers."""
 
-    def per_word(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.word, weights=values, minlength=len(self.words))
+    tokens: int
+    words: int
+    discount: float
+    root_discount: float
+    root_customers: float = 0.0
+    root_tables: float = 0.0
+    strength: float = 1.0
+    root_strength: float = 1.0
 
-    def answer(self, question: tuple, values: np.ndarray) -> np.ndarray:
-        """``values`` (per dish, in the last axis) at the pairs of a question, 0 where the pair is no dish."""
-        code = np.repeat(np.searchsorted(self.words, question[0]), question[1]) * WIDTH + question[2]
-        mine = self.word * WIDTH + self.context
-        at = np.minimum(np.searchsorted(mine, code), max(0, len(mine) - 1))
-        return np.where(mine[at] == code, values[..., at], 0) if len(mine) else np.zeros((*values.shape[:-1], len(code)))
+    def root_probability(self, below: np.ndarray, root: np.ndarray) -> np.ndarray:
+        base = (self.root_strength + self.root_discount * self.root_tables) / (self.words + 1)
+        return (below - self.root_discount * root + base) / (self.root_strength + self.root_customers)
 
 
 def seat(rng: np.random.Generator, count: np.ndarray, others: np.ndarray, parent: np.ndarray, discount: float, strength: float) -> np.ndarray:
@@ -164,201 +152,301 @@ def seat(rng: np.random.Generator, count: np.ndarray, others: np.ndarray, parent
     return tables
 
 
-class State:
-    """What is global: totals of the corpus and, sweep by sweep, tables per context, totals of the root and hyper-parameters. Bounded by the contexts."""
+class Bucket:
+    """The words of a bucket, as dishes (``below``, ``root``: customers and tables in the root) and as restaurants (``customers``, ``tables``).
+
+    ``word``, ``count``, ``seated``, ``at``: of each dish with two customers or more, its word, customers, tables and restaurant, as a place in the restaurants that the bucket
+    asks for; ``asks``: their part of each other bucket, as (bucket, from, to). ``links``: who asks for which restaurants of this bucket.
+    """
+
+    def __init__(self, words: np.ndarray, word: np.ndarray, context: np.ndarray, count: np.ndarray, buckets: int) -> None:
+        self.words = words
+        self.customers = np.bincount(word, weights=count, minlength=len(words)).astype(np.int64)
+        more = count > 1
+        self.single = np.bincount(word[~more], minlength=len(words))
+        self.word, self.count = word[more], count[more]
+        self.seated = np.ones(len(self.word))
+        self.alone, self.alone_n = np.unique(context[~more], return_counts=True)
+        asked, self.at = np.unique(context[more], return_inverse=True)
+        order = np.lexsort((asked, asked % np.uint64(buckets)))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.at, self.asked = place[self.at], asked[order]
+        self.asks = _cut(self.asked, buckets)
+        self.below = self.single + np.bincount(self.word, minlength=len(words))
+        self.root = np.minimum(self.below, 1).astype(np.float64)
+        self.links: list[tuple[int, np.ndarray]] = []
+        self.samples: list[tuple] = []
+
+    def contents(self) -> list[float]:
+        """Tokens, words, dishes with one and with two customers, words in one and in two contexts."""
+        return [float(x) for x in (self.customers.sum(), (self.below > 0).sum(), self.single.sum(), (self.count == 2).sum(), (self.below == 1).sum(), (self.below == 2).sum())]
+
+    def introduce(self, buckets: int) -> Iterator[tuple[int, tuple]]:
+        """(bucket, (restaurants of dishes with one customer, how many, restaurants asked for)); the bucket keeps places only."""
+        order = np.lexsort((self.alone, self.alone % np.uint64(buckets)))
+        alone, n = self.alone[order], self.alone_n[order]
+        parts = {b: (alone[lo:hi], n[lo:hi].astype(np.uint32)) for b, lo, hi in _cut(alone, buckets)}
+        asks = {b: self.asked[lo:hi] for b, lo, hi in self.asks}
+        none = alone[:0]
+        for b in sorted({*parts, *asks}):
+            yield b, (*parts.get(b, (none, none)), asks.get(b, none))
+        del self.alone, self.alone_n, self.asked
+
+    def meet(self, introductions: list[tuple[int, tuple]]) -> None:
+        """Tables of dishes with one customer, and the links to buckets whose dishes have more."""
+        self.lone = np.zeros(len(self.words))
+        for sender, (alone, n, asked) in introductions:
+            self.lone[np.searchsorted(self.words, alone)] += n
+            if len(asked):
+                self.links.append((sender, np.searchsorted(self.words, asked).astype(np.uint32)))
+        del self.words
+        self.tables = self.lone.copy()
+        for _, at in self.links:
+            self.tables[at] += 1  # settled by the first sweep
+
+    def sums(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(bucket, tables in each of its restaurants that this bucket asks for)."""
+        total = np.bincount(self.at, weights=self.seated, minlength=max((hi for _, _, hi in self.asks), default=0)).astype(np.uint32)
+        for b, lo, hi in self.asks:
+            yield b, total[lo:hi]
+
+    def add(self, sums: list[tuple[int, np.ndarray]]) -> None:
+        self.tables = self.lone.copy()
+        for (sender, at), (other, n) in zip(self.links, sums, strict=True):
+            assert sender == other
+            self.tables[at] += n
+
+    def replies(self) -> Iterator[tuple[int, np.ndarray]]:
+        for sender, at in self.links:
+            yield sender, self.tables[at].astype(np.uint32)
+
+    def sweep(self, number: int, n: int, replies: list[tuple[int, np.ndarray]], model: Model) -> None:
+        """Seats the dishes, then the root's; ``replies`` come in the order of ``asks``."""
+        rng = np.random.default_rng([SEED, n, number])
+        inside = np.concatenate([t for _, t in replies]).astype(np.float64) if replies else np.zeros(0)
+        p = model.root_probability(self.below, self.root)
+        self.seated = seat(rng, self.count, inside[self.at] - self.seated, p[self.word], model.discount, model.strength)
+        self.below = self.single + np.bincount(self.word, weights=self.seated, minlength=len(self.single)).astype(np.int64)
+        base = np.full(len(self.below), 1.0 / (model.words + 1))
+        self.root = seat(rng, self.below, model.root_tables - self.root, base, model.root_discount, model.root_strength)
 
-    def __init__(self, tokens: int, words: int, customers: np.ndarray, discount: float, root_discount: float) -> None:
-        self.tokens, self.words, self.customers = tokens, words, customers
-        self.discount, self.root_discount = discount, root_discount
-        self.sweeps: list[tuple[np.ndarray, float, float, float, float]] = []  # tables, root customers, root tables, strength, root strength
+    def keep(self) -> None:
+        """This seating is one that predictions are averaged over."""
+        self.samples.append((self.seated.astype(np.uint32), self.below.astype(np.uint32), self.root.astype(np.uint32), self.tables.astype(np.uint32)))
 
-    def base(self) -> float:
-        return 1.0 / (self.words + 1)
+    def totals(self, model: Model) -> list[float]:
+        """Customers and tables of the root, then the log likelihood of this bucket's restaurants at each strength of the grid."""
+        return [float(self.below.sum()), float(self.root.sum()), *likelihood(self.customers, self.tables, model.discount)]
 
 
-def sweeps(bucket: Bucket, number: int, state: State) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(tables per dish, root customers per word, root tables per word) after each sweep; the first is one table for each dish and word."""
-    tables = np.ones(len(bucket.count))
-    below = bucket.per_word(tables)
-    root = np.minimum(below, 1)
-    yield tables, below, root
-    for n, (per_context, c0, t0, strength, root_strength) in enumerate(state.sweeps):
-        rng = np.random.default_rng([SEED, n, number])
-        p = root_probability(below, root, c0, t0, root_strength, state)
-        tables = seat(rng, bucket.count, per_context[bucket.context] - tables, p[bucket.word], state.discount, strength)
-        below = bucket.per_word(tables)
-        root = seat(rng, below.astype(np.int64), t0 - root, np.full(len(below), state.base()), state.root_discount, root_strength)
-        yield tables, below, root
+def _cut(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of hashes sorted by bucket."""
+    of = hashes % np.uint64(buckets)
+    some, first = np.unique(of, return_index=True)
+    return list(zip(some.tolist(), first.tolist(), [*first.tolist()[1:], len(of)]))
 
 
-def root_probability(below: np.ndarray, root: np.ndarray, c0: float, t0: float, strength: float, state: State) -> np.ndarray:
-    return (below - state.root_discount * root + (strength + state.root_discount * t0) * state.base()) / (strength + c0)
+def likelihood(customers: np.ndarray, tables: np.ndarray, discount: float) -> np.ndarray:
+    """Log likelihood of the strengths in ``GRID`` given customers and tables per restaurant, but for a constant."""
+    some = tables > 0
+    (c, c_n), (t, t_n) = (np.unique(x[some].astype(np.int64), return_counts=True) for x in (customers, tables))
+    c, c_n, t, t_n = (x.tolist() for x in (c, c_n, t, t_n))
+    n = sum(c_n)
+    return np.array([sum(k * math.lgamma(s / discount + b) for b, k in zip(t, t_n)) - sum(k * math.lgamma(s + a) for a, k in zip(c, c_n))
+                     + n * (math.lgamma(s + 1) - math.lgamma(s / discount + 1)) for s in GRID])
 
 
-def _grid_draw(rng: np.random.Generator, customers: np.ndarray, tables: np.ndarray, discount: float) -> float:
-    """A concentration from its likelihood given customers and tables per restaurant, over ``GRID``."""
-    some = tables > 0
-    c, t = customers[some].tolist(), tables[some].tolist()
-    if not c:
-        return 1.0
-    log = np.array([sum(math.lgamma(s / discount + b) - math.lgamma(s / discount + 1) - math.lgamma(s + a) + math.lgamma(s + 1) for a, b in zip(c, t)) for s in GRID])
+def draw(rng: np.random.Generator, log: np.ndarray) -> float:
     p = np.exp(log - log.max())
     return float(rng.choice(GRID, p=p / p.sum()))
 
 
-class _Sums:
-    """Sums per context and totals of a task."""
-
-    def __init__(self, totals: int) -> None:
-        self.v = np.zeros(WIDTH + totals)
+def merged(questions: list[tuple], buckets: int) -> tuple[Bucket, list[tuple]]:
+    """A bucket of its questions, and for each question the places of its words, the customers of its pairs, and the places of those dishes that have two or more."""
+    words = np.unique(np.concatenate([q[0] for q in questions]))
+    contexts, place = np.unique(np.concatenate([q[2] for q in questions]), return_inverse=True)
+    word = np.concatenate([np.searchsorted(words, q[0]).astype(np.uint32) for q in questions])
+    pairs, at = np.unique(np.repeat(word, np.concatenate([q[1] for q in questions])).astype(np.int64) * len(contexts) + place, return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([q[3] for q in questions]), minlength=len(pairs)).astype(np.int64)
+    dish = total > 0
+    bucket = Bucket(words, pairs[dish] // len(contexts), contexts[pairs[dish] % len(contexts)], total[dish], buckets)
+    number = np.cumsum(total > 1) - 1
+    asked, w, p = [], 0, 0
+    for q in questions:
+        mine = at[p:p + len(q[2])]
+        count = total[mine].astype(np.uint32)
+        asked.append((word[w:w + len(q[0])], count, number[mine[count > 1]].astype(np.uint32)))
+        w, p = w + len(q[0]), p + len(q[2])
+    return bucket, asked
+
+
+def answer(bucket: Bucket, asked: tuple, models: list[Model]) -> tuple:
+    """(customers per word, customers per pair, per seating: tables per pair with two customers or more, root probability and tables per word)."""
+    word, count, dish = asked
+    each = [(seated[dish], model.root_probability(below, root)[word].astype(np.float32), tables[word]) for (seated, below, root, tables), model in zip(bucket.samples, models, strict=True)]
+    return bucket.customers[word].astype(np.uint32), count, each
+
+
+def predicted(answers: list[tuple], pairs: np.ndarray, models: list[Model]) -> np.ndarray:
+    """The averaged probability of a group's pairs, from the answers of all buckets in their order."""
+    customers = np.concatenate([a[0] for a in answers]).astype(np.float64)
+    count = np.concatenate([a[1] for a in answers]).astype(np.float64)
+    word, context = pairs // len(customers), pairs % len(customers)
+    mean = np.zeros(len(pairs))
+    for n, model in enumerate(models):
+        seated, p0, tables = (np.concatenate([a[2][n][k] for a in answers]) for k in range(3))
+        own = np.minimum(count, 1)
+        own[count > 1] = seated
+        share = (model.strength + model.discount * tables) / (model.strength + customers)
+        mean += (count - model.discount * own) / (model.strength + customers[context]) + share[context] * p0[word]
+    return mean / len(models)
+
+
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    kinds = {"bucket": pa.int64(), "sender": pa.int64(), "block": pa.binary(), "sums": pa.list_(pa.float64())}
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds.values())], list(kinds))
+
+
+def _by(column: str, batches: Iterator[pa.RecordBatch], *others: str) -> Iterator[tuple[int, list[tuple]]]:
+    """(value, its rows of the other columns) of batches sorted by a column."""
+    last, found = None, []
+    for batch in batches:
+        for value, *rest in zip(*(batch.column(c).to_pylist() for c in (column, *others))):
+            if value != last and found:
+                yield last, found
+                found = []
+            last = value
+            found.append(tuple(rest))
+    if found:
+        yield last, found
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Bucket, list[tuple]]]:
+    """(bucket number, bucket, its messages in the order of their senders)."""
+    for number, found in _by("bucket", batches, "sender", "block"):
+        (own, state), *messages = found
+        assert own == OWN
+        yield number, _unpack(state), [(s, _unpack(block)) for s, block in messages]
+
+
+def _sent(number: int, bucket: Bucket, messages: Iterator[tuple], sums: list[float] | None = None) -> pa.RecordBatch:
+    out = [(b, number, _pack(m), None) for b, m in messages]
+    return _rows([(number, OWN, _pack(bucket), sums), *out])
+
+
+def _dealt(df: DataFrame, buckets: int) -> DataFrame:
+    return df.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "sender")
+
+
+def _total(df: DataFrame) -> list[float]:
+    """The sums of all buckets, by place; as many numbers as a bucket has."""
+    each = df.where("sums is not null").select(F.posexplode("sums").alias("at", "v"))
+    return [r.v for r in each.groupBy("at").agg(F.sum("v").alias("v")).orderBy("at").collect()]
+
+
+def train(stored: DataFrame, buckets: int) -> tuple[DataFrame, list[Model]]:
+    """The last seating, with the kept ones, as a row per bucket; and what was known of the corpus at each kept seating."""
+    def introduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, data in zip(batch.column("bucket").to_pylist(), batch.column("dishes").to_pylist()):
+                bucket = _unpack(data)
+                messages = list(bucket.introduce(buckets))
+                yield _sent(number, bucket, messages)
 
-    def batch(self) -> pa.RecordBatch:
-        at = np.flatnonzero(self.v)
-        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(self.v[at])], ["at", "v"])
+    tokens, words, once, twice, root_once, root_twice = _total(stored) or [0.0] * 6
+    bounded = lambda a, b: min(0.95, max(0.1, a / (a + 2 * b) if a else 0.5))
+    model = Model(int(tokens), int(words), bounded(once, twice), bounded(root_once, root_twice))
 
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, bucket, messages in _met(batches):
+            bucket.meet(messages)
+            yield _sent(number, bucket, bucket.sums())
 
-def _summed(df: DataFrame, totals: int) -> np.ndarray:
-    out = np.zeros(WIDTH + totals)
-    for at, v in df.groupBy("at").agg(F.sum("v")).collect():  # at most WIDTH + totals rows
-        out[at] = v
-    return out
+    def seated(n: int, model: Model):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, bucket, messages in _met(batches):
+                bucket.sweep(number, n, messages, model)
+                yield _sent(number, bucket, bucket.sums())
 
+        return run
 
-def train(stored: DataFrame) -> State:
-    """The sweeps over the stored buckets."""
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(5)
-        for batch in batches:
-            for data in batch.column("dishes").to_pylist():
-                b = Bucket.unpacked(data)
-                sums.v[:WIDTH] += np.bincount(b.context, weights=b.count, minlength=WIDTH)
-                contexts = b.per_word(np.ones(len(b.count)))
-                sums.v[WIDTH:] += (contexts > 0).sum(), (b.count == 1).sum(), (b.count == 2).sum(), (contexts == 1).sum(), (contexts == 2).sum()
-        yield sums.batch()
-
-    got = _summed(stored.select("dishes").mapInArrow(first, "at int, v double"), 5)
-    words, once, twice, root_once, root_twice = got[WIDTH:]
-    bounded = lambda a, b: min(0.95, max(0.1, a / (a + 2 * b) if a else 0.5))
-    state = State(int(got[:WIDTH].sum()), int(words), got[:WIDTH], bounded(once, twice), bounded(root_once, root_twice))
+    def added(keep: bool, model: Model):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for number, bucket, messages in _met(batches):
+                bucket.add(messages)
+                if keep:
+                    bucket.keep()
+                yield _sent(number, bucket, bucket.replies(), bucket.totals(model))
 
-    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(2)
-        for batch in batches:
-            for number, data in zip(batch.column("bucket").to_pylist(), batch.column("dishes").to_pylist()):
-                b = Bucket.unpacked(data)
-                for seated, below, root in sweeps(b, number, state):
-                    pass
-                sums.v[:WIDTH] += np.bincount(b.context, weights=seated, minlength=WIDTH)
-                sums.v[WIDTH:] += below.sum(), root.sum()
-        yield sums.batch()
+        return run
 
     rng = np.random.default_rng(SEED)
-    for _ in range(BURN_IN + SAMPLES):
-        got = _summed(stored.select("bucket", "dishes").mapInArrow(tables, "at int, v double"), 2)
-        c0, t0 = got[WIDTH:]
-        state.sweeps.append((got[:WIDTH], float(c0), float(t0), _grid_draw(rng, state.customers, got[:WIDTH], state.discount),
-                             _grid_draw(rng, np.array([c0]), np.array([t0]), state.root_discount)))
-    return state
-
-
-def log_probabilities(bucket: Bucket, number: int, state: State, questions: list[tuple]) -> list[np.ndarray]:
-    """log10 of the averaged predictive probability of every pair asked for."""
-    mean = [np.zeros(int(q[1].sum())) for q in questions]
-    unknown = state.base()
-    for n, (seated, below, root) in enumerate(sweeps(bucket, number, state)):
-        if n < BURN_IN or n >= len(state.sweeps):
+    sent = _dealt(stored.select("bucket", "dishes").mapInArrow(introduced, MESSAGES), buckets).mapInArrow(opened, MESSAGES)
+    kept = []
+    for n in range(-1, BURN_IN + SAMPLES):  # -1: a table for each dish
+        if n >= 0:
+            sent = _dealt(sent, buckets).mapInArrow(seated(n, model), MESSAGES)
+        sent = durable(_dealt(sent, buckets).mapInArrow(added(n >= BURN_IN, model), MESSAGES))
+        got = _total(sent)
+        if not got:  # no rows at all
             continue
-        per_context, c0, t0, strength, root_strength = state.sweeps[n]  # the totals of this very seating
-        p0 = root_probability(below, root, c0, t0, root_strength, state) if state.tokens else np.full(len(bucket.words), unknown)
-        bottom = strength + state.customers
-        own = (bucket.count - state.discount * seated) / bottom[bucket.context]
-        share = (strength + state.discount * per_context) / bottom
-        for m, q in zip(mean, questions):
-            at = np.searchsorted(bucket.words, q[0])
-            m += bucket.answer(q, own) + share[q[2]] * np.repeat(p0[at], q[1])
-    samples = len(state.sweeps) - BURN_IN
-    return [np.log10(m / samples) for m in mean]
+        customers, tables, *log = got
+        root = likelihood(np.array([customers]), np.array([tables]), model.root_discount)
+        model = model._replace(root_customers=customers, root_tables=tables, strength=draw(rng, np.array(log)), root_strength=draw(rng, root))
+        if n >= BURN_IN:
+            kept.append(model)
+    return sent.where(F.col("sender") == OWN).select("bucket", "block"), kept
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows with ``held_out`` don't train."""
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"), held_out.alias("held_out"), F.spark_partition_id().alias("part"))
     buckets = pieces(rows, BUCKET_BYTES)
-    shape = "bucket long, g long, block binary"
-    names = ["bucket", "g", "block"]
-
-    def blocks(out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, _, _, group in _grouped(batches, buckets):
-            yield blocks([(b, g, _pack(q)) for b, q in group.questions()])
+            yield _rows([(b, g, _pack(q), None) for b, q in group.questions()])
 
     def recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, keys, held, group in _grouped(batches, buckets):
-            step = np.diff(group.at, prepend=0)
-            step[np.cumsum(group.lengths)[:-1]] = group.at[np.cumsum(group.lengths)[:-1]]
-            yield blocks([(-1, g, _pack((keys, held, group.lengths, step.astype(np.uint32))))])
+            yield _rows([(g, RECIPE, _pack((keys, held, group.lengths, group.token, group.end)), None)])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, found = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if found:
-                bucket = Bucket.merge([_unpack(block) for _, block in found])
-                yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([bucket.packed()], pa.large_binary()).cast(pa.binary()), pa.array([pickle.dumps(found, 5)], pa.binary())],
-                                                 ["bucket", "dishes", "asked"])
-
-        for batch in batches:
-            for bucket, g, block in zip(*(batch.column(c).to_pylist() for c in names)):
-                if bucket != last:
-                    yield from done()
-                    last, found = bucket, []
-                found.append((g, block))
-        yield from done()
-
-    asked = rows.mapInArrow(ask, shape).repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "g")
-    stored = durable(asked.mapInArrow(merge, "bucket long, dishes binary, asked binary"))
-    state = train(stored)
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, dishes, asked in zip(*(batch.column(c).to_pylist() for c in ("bucket", "dishes", "asked"))):
-                bucket, found = Bucket.unpacked(dishes), pickle.loads(asked)
-                count = bucket.per_word(bucket.count).astype(np.int64)
-                questions = [_unpack(block) for _, block in found]
-                for (g, _), q, p in zip(found, questions, log_probabilities(bucket, number, state, questions)):
-                    known = count[np.searchsorted(bucket.words, q[0])]
-                    yield blocks([(number, g, _pack((q[1], known, p.astype(np.float32))))])
-
-    tokens, words = state.tokens, state.words
+        for number, found in _by("bucket", batches, "sender", "block"):
+            bucket, asked = merged([_unpack(block) for _, block in found], buckets)
+            every = pickle.dumps([(g, _pack(a)) for (g, _), a in zip(found, asked)], 5)
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([_pack(bucket)], pa.binary()), pa.array([every], pa.binary()),
+                                              pa.array([bucket.contents()], pa.list_(pa.float64()))], ["bucket", "dishes", "asked", "sums"])
+
+    asked = _dealt(rows.mapInArrow(ask, MESSAGES), buckets)
+    stored = durable(asked.mapInArrow(merge, "bucket long, dishes binary, asked binary, sums array<double>"))
+    seatings, models = train(stored, buckets)
+    tokens, words = (models[-1].tokens, models[-1].words) if models else (0, 0)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, found in _by("bucket", batches, "sender", "block"):
+            bucket, questions = _unpack(found[0][1]), pickle.loads(found[1][1])
+            for g, asked in questions:
+                yield _rows([(g, number, _pack(answer(bucket, _unpack(asked), models)), None)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, found = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if found:
-                keys, held, lengths, step = _unpack(next(block for b, block in found if b < 0))
-                got = [_unpack(block) for b, block in found if b >= 0]
-                known = np.concatenate([np.repeat(c, n) for n, c, _ in got])
-                model = np.concatenate([p for _, _, p in got]).astype(np.float64)
-                base = np.log10((known + ADD) / (tokens + ADD * (words + 1)))
-                starts = np.cumsum(lengths) - lengths
-                run = np.cumsum(step.astype(np.int64))
-                at = run - np.repeat(run[starts] - step[starts], lengths)
-                columns = [pa.array(keys, pa.int64()), pa.array(held, pa.bool_()), pa.array(lengths), pa.array(np.add.reduceat((known[at] > 0).astype(np.int64), starts)),
-                           pa.array(np.full(len(keys), tokens)), pa.array(np.add.reduceat(base[at], starts)), pa.array(np.add.reduceat(model[at], starts))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-        for batch in batches:
-            for bucket, g, block in zip(*(batch.column(c).to_pylist() for c in names)):
-                if g != last:
-                    yield from done()
-                    last, found = g, []
-                found.append((bucket, block))
-        yield from done()
-
-    met = stored.mapInArrow(answer, shape).unionAll(rows.mapInArrow(recipes, shape)).repartition(buckets, "g").sortWithinPartitions("g", "bucket")
+        for _, found in _by("bucket", batches, "sender", "block"):
+            keys, held, lengths, token, end = _unpack(found[0][1])
+            answers = [_unpack(block) for _, block in found[1:]]
+            known = np.concatenate([a[0] for a in answers])
+            pairs, at = pairs_of(token, lengths, end, len(known))
+            model = np.log10(predicted(answers, pairs, models))[at]
+            base = np.log10((known + ADD) / (tokens + ADD * (words + 1)))
+            starts = np.cumsum(lengths) - lengths
+            columns = [pa.array(keys, pa.int64()), pa.array(held, pa.bool_()), pa.array(lengths), pa.array(np.add.reduceat((known > 0)[token].astype(np.int64), starts)),
+                       pa.array(np.full(len(keys), tokens)), pa.array(np.add.reduceat(base[token], starts)), pa.array(np.add.reduceat(model, starts))]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    # the seating first, then the questions of the same bucket
+    both = seatings.select("bucket", F.lit(OWN).cast("long").alias("sender"), "block").unionAll(stored.select("bucket", F.lit(0).cast("long"), "asked"))
+    given = _dealt(both, buckets).mapInArrow(answered, MESSAGES).drop("sums").unionAll(rows.mapInArrow(recipes, MESSAGES).drop("sums"))
+    met = given.repartition(buckets, "bucket").sortWithinPartitions("bucket", "sender")  # here "bucket" is the group
     return met.mapInArrow(add, "key long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

@@ -283,27 +283,6 @@ def test_language_model(spark, odd, nothing, monkeypatch):
     assert pitman_yor.score(nothing, held).count() == 0
 
 
-def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(6)
-    words = np.unique(rng.integers(1, 1 << 62, 300).astype(np.uint64))
-    word, context = rng.integers(0, len(words), 4000), rng.integers(0, 5, 4000)
-    code, count = np.unique(word * pitman_yor.WIDTH + context, return_counts=True)
-    some = pitman_yor.Bucket(words, code // pitman_yor.WIDTH, code % pitman_yor.WIDTH, count)
-    customers = np.bincount(some.context, weights=count, minlength=pitman_yor.WIDTH)
-    state = pitman_yor.State(4000, len(np.unique(some.word)), customers, 0.7, 0.5)
-    for _ in range(pitman_yor.BURN_IN + pitman_yor.SAMPLES):
-        seated, below, root = list(pitman_yor.sweeps(some, 1, state))[-1]
-        assert (seated <= count).all() and (seated >= 1).all()
-        state.sweeps.append((np.bincount(some.context, weights=seated, minlength=pitman_yor.WIDTH), float(below.sum()), float(root.sum()), 5.0, 2.0))
-    used = np.unique(some.word)
-    for c in range(5):
-        q = (words[used], np.ones(len(used), np.uint32), np.full(len(used), c, np.uint16), None)
-        p = 10 ** pitman_yor.log_probabilities(some, 1, state, [q])[0]
-        last = [s for s in state.sweeps[pitman_yor.BURN_IN:]]
-        unknown = np.mean([(5.0 + 0.7 * t[c]) / (5.0 + customers[c]) * (2.0 + 0.5 * t0) / (2.0 + c0) * state.base() for t, c0, t0, _, _ in last])
-        assert abs(p.sum() + unknown - 1) < 1e-9
-
-
 def test_model_beats_base_on_held_out_text(spark, sf_dir):
     got = pitman_yor.op7_pitman_yor(spark, sf_dir).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
