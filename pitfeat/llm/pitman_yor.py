@@ -22,6 +22,7 @@ all of them train. Nothing in, nothing out. Extra columns are not read.
 
 from __future__ import annotations
 
+import io
 import math
 import pickle
 from collections.abc import Iterator
@@ -46,8 +47,24 @@ OWN, RECIPE = -1, -1  # senders of a bucket's own state and of a group's recipe:
 MESSAGES = "bucket long, sender long, block binary, sums array<double>"
 
 
+class _Planes(pickle.Pickler):
+    """Arrays by planes, all lowest bytes first: small numbers in wide types cost next to nothing once compressed."""
+
+    def reducer_override(self, x):
+        if type(x) is np.ndarray and x.ndim == 1 and x.itemsize > 1:
+            return _joined, (x.dtype.str, np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
+        return NotImplemented
+
+
+def _joined(kind: str, planes: bytes) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
 def _pack(things, level: int = 3) -> bytes:
-    return zstandard.ZstdCompressor(level).compress(pickle.dumps(things, 5))
+    out = io.BytesIO()
+    _Planes(out, 5).dump(things)
+    return zstandard.ZstdCompressor(level).compress(out.getbuffer())
 
 
 def _unpack(data: bytes):
@@ -81,7 +98,7 @@ class Group:
         self.bucket = (self.words % np.uint64(buckets)).astype(np.int64)
 
     def questions(self) -> Iterator[tuple[int, tuple]]:
-        """(bucket, (word hashes, pairs per word, context hashes, counts))."""
+        """(bucket, (word hashes, pairs per word, different context hashes, the place of each pair's context among them, counts))."""
         pairs, at = pairs_of(self.token, self.lengths, self.end, len(self.words))
         count = np.bincount(at[np.repeat(self.train, self.lengths)], minlength=len(pairs)).astype(np.uint32)
         word, context = pairs // len(self.words), pairs % len(self.words)
@@ -91,7 +108,8 @@ class Group:
         cuts = np.searchsorted(word, edges)
         for k, b in enumerate(some.tolist()):
             w, p = slice(edges[k], edges[k + 1]), slice(cuts[k], cuts[k + 1])
-            yield b, (self.words[w], per_word[w], self.words[context[p]], count[p])
+            contexts, place = np.unique(context[p], return_inverse=True)  # in the order of bucket and hash
+            yield b, (self.words[w], per_word[w], self.words[contexts], place.astype(np.uint32), count[p])
 
 
 def pairs_of(token: np.ndarray, lengths: np.ndarray, end: int, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +183,7 @@ class Bucket:
         more = count > 1
         self.single = np.bincount(word[~more], minlength=len(words))
         self.word, self.count = word[more], count[more]
-        self.seated = np.ones(len(self.word))
+        self.seated = np.ones(len(self.word), np.uint32)
         self.alone, self.alone_n = np.unique(context[~more], return_counts=True)
         asked, self.at = np.unique(context[more], return_inverse=True)
         order = np.lexsort((asked, asked % np.uint64(buckets)))
@@ -174,7 +192,7 @@ class Bucket:
         self.at, self.asked = place[self.at], asked[order]
         self.asks = _cut(self.asked, buckets)
         self.below = self.single + np.bincount(self.word, minlength=len(words))
-        self.root = np.minimum(self.below, 1).astype(np.float64)
+        self.root = np.minimum(self.below, 1)
         self.links: list[tuple[int, np.ndarray]] = []
         self.samples: list[tuple] = []
 
@@ -190,20 +208,17 @@ class Bucket:
         asks = {b: self.asked[lo:hi] for b, lo, hi in self.asks}
         none = alone[:0]
         for b in sorted({*parts, *asks}):
-            yield b, (*parts.get(b, (none, none)), asks.get(b, none))
+            yield b, (*parts.get(b, (none, none.astype(np.uint32))), asks.get(b, none))
         del self.alone, self.alone_n, self.asked
 
     def meet(self, introductions: list[tuple[int, tuple]]) -> None:
         """Tables of dishes with one customer, and the links to buckets whose dishes have more."""
-        self.lone = np.zeros(len(self.words))
+        self.lone = np.zeros(len(self.words), np.int64)
         for sender, (alone, n, asked) in introductions:
             self.lone[np.searchsorted(self.words, alone)] += n
             if len(asked):
                 self.links.append((sender, np.searchsorted(self.words, asked).astype(np.uint32)))
         del self.words
-        self.tables = self.lone.copy()
-        for _, at in self.links:
-            self.tables[at] += 1  # settled by the first sweep
 
     def sums(self) -> Iterator[tuple[int, np.ndarray]]:
         """(bucket, tables in each of its restaurants that this bucket asks for)."""
@@ -226,14 +241,14 @@ class Bucket:
         rng = np.random.default_rng([SEED, n, number])
         inside = np.concatenate([t for _, t in replies]).astype(np.float64) if replies else np.zeros(0)
         p = model.root_probability(self.below, self.root)
-        self.seated = seat(rng, self.count, inside[self.at] - self.seated, p[self.word], model.discount, model.strength)
+        self.seated = seat(rng, self.count, inside[self.at] - self.seated, p[self.word], model.discount, model.strength).astype(np.uint32)
         self.below = self.single + np.bincount(self.word, weights=self.seated, minlength=len(self.single)).astype(np.int64)
         base = np.full(len(self.below), 1.0 / (model.words + 1))
-        self.root = seat(rng, self.below, model.root_tables - self.root, base, model.root_discount, model.root_strength)
+        self.root = seat(rng, self.below, model.root_tables - self.root, base, model.root_discount, model.root_strength).astype(np.uint32)
 
     def keep(self) -> None:
         """This seating is one that predictions are averaged over."""
-        self.samples.append((self.seated.astype(np.uint32), self.below.astype(np.uint32), self.root.astype(np.uint32), self.tables.astype(np.uint32)))
+        self.samples.append((self.seated, self.below, self.root, self.tables))
 
     def totals(self, model: Model) -> list[float]:
         """Customers and tables of the root, then the log likelihood of this bucket's restaurants at each strength of the grid."""
@@ -265,27 +280,27 @@ def draw(rng: np.random.Generator, log: np.ndarray) -> float:
 def merged(questions: list[tuple], buckets: int) -> tuple[Bucket, list[tuple]]:
     """A bucket of its questions, and for each question the places of its words, the customers of its pairs, and the places of those dishes that have two or more."""
     words = np.unique(np.concatenate([q[0] for q in questions]))
-    contexts, place = np.unique(np.concatenate([q[2] for q in questions]), return_inverse=True)
+    contexts = np.unique(np.concatenate([q[2] for q in questions]))
+    place = np.concatenate([np.searchsorted(contexts, q[2])[q[3]] for q in questions])
     word = np.concatenate([np.searchsorted(words, q[0]).astype(np.uint32) for q in questions])
     pairs, at = np.unique(np.repeat(word, np.concatenate([q[1] for q in questions])).astype(np.int64) * len(contexts) + place, return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate([q[3] for q in questions]), minlength=len(pairs)).astype(np.int64)
+    total = np.bincount(at, weights=np.concatenate([q[4] for q in questions]), minlength=len(pairs)).astype(np.int64)
     dish = total > 0
     bucket = Bucket(words, pairs[dish] // len(contexts), contexts[pairs[dish] % len(contexts)], total[dish], buckets)
     number = np.cumsum(total > 1) - 1
     asked, w, p = [], 0, 0
     for q in questions:
-        mine = at[p:p + len(q[2])]
+        mine = at[p:p + len(q[3])]
         count = total[mine].astype(np.uint32)
         asked.append((word[w:w + len(q[0])], count, number[mine[count > 1]].astype(np.uint32)))
-        w, p = w + len(q[0]), p + len(q[2])
+        w, p = w + len(q[0]), p + len(q[3])
     return bucket, asked
 
 
-def answer(bucket: Bucket, asked: tuple, models: list[Model]) -> tuple:
-    """(customers per word, customers per pair, per seating: tables per pair with two customers or more, root probability and tables per word)."""
+def answer(bucket: Bucket, asked: tuple) -> tuple:
+    """(customers per word, customers per pair, per seating: tables per pair with two customers or more, and per word customers and tables in the root and tables inside)."""
     word, count, dish = asked
-    each = [(seated[dish], model.root_probability(below, root)[word].astype(np.float32), tables[word]) for (seated, below, root, tables), model in zip(bucket.samples, models, strict=True)]
-    return bucket.customers[word].astype(np.uint32), count, each
+    return bucket.customers[word], count, [(seated[dish], below[word], root[word], tables[word]) for seated, below, root, tables in bucket.samples]
 
 
 def predicted(answers: list[tuple], pairs: np.ndarray, models: list[Model]) -> np.ndarray:
@@ -295,7 +310,8 @@ def predicted(answers: list[tuple], pairs: np.ndarray, models: list[Model]) -> n
     word, context = pairs // len(customers), pairs % len(customers)
     mean = np.zeros(len(pairs))
     for n, model in enumerate(models):
-        seated, p0, tables = (np.concatenate([a[2][n][k] for a in answers]) for k in range(3))
+        seated, below, root, tables = (np.concatenate([a[2][n][k] for a in answers]).astype(np.float64) for k in range(4))
+        p0 = model.root_probability(below, root)
         own = np.minimum(count, 1)
         own[count > 1] = seated
         share = (model.strength + model.discount * tables) / (model.strength + customers)
@@ -428,7 +444,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         for number, found in _by("bucket", batches, "sender", "block"):
             bucket, questions = _unpack(found[0][1]), pickle.loads(found[1][1])
             for g, asked in questions:
-                yield _rows([(g, number, _pack(answer(bucket, _unpack(asked), models)), None)])
+                yield _rows([(g, number, _pack(answer(bucket, _unpack(asked))), None)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, found in _by("bucket", batches, "sender", "block"):

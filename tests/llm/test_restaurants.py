@@ -104,9 +104,9 @@ def test_probabilities_sum_to_one(fitted):
                 if k > 1:
                     dish.append(number[w, at_of[context]])
         asked = (np.arange(len(words[b])), np.array(count, np.uint32), np.array(dish, np.int64))
-        answers.append(lm.answer(boxes[b], asked, models))
+        answers.append(lm.answer(boxes[b], asked))
     p = lm.predicted(answers, every, models).reshape(total, total)
-    customers, tables = np.concatenate([a[0] for a in answers]), [np.concatenate([a[2][n][2] for a in answers]) for n in range(len(models))]
+    customers, tables = np.concatenate([a[0] for a in answers]), [np.concatenate([a[2][n][3] for a in answers]) for n in range(len(models))]
     unknown = np.mean([(m.strength + m.discount * t) / (m.strength + customers) * m.root_probability(np.zeros(1), np.zeros(1)) for m, t in zip(models, tables)], axis=0)
     assert np.abs(p.sum(axis=0) + unknown - 1).max() < 1e-6
 
