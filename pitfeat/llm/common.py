@@ -65,8 +65,8 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Rec
             yield batch.slice(k, rows)
 
 
-def pieces(df: DataFrame, each: int) -> int:
-    """Partitions of about ``each`` bytes for a stored table, by the size its plan states; at least the session's number, also where the size is unknown."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def pieces(df: DataFrame, each: int, least: int | None = None) -> int:
+    """Partitions of about ``each`` bytes for a stored table, by the size its plan states; at least ``least``, or else the session's number, which also holds where the size is unknown."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return least if size >= 1 << 60 else max(least, -(-size // each))
+    return usual if size >= 1 << 60 else max(usual if least is None else least, -(-size // each))

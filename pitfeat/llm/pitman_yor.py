@@ -418,7 +418,7 @@ def train(stored: DataFrame, buckets: int) -> tuple[DataFrame, list[Model]]:
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; rows with ``held_out`` don't train."""
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"), held_out.alias("held_out"), F.spark_partition_id().alias("part"))
-    buckets = pieces(rows, BUCKET_BYTES)
+    buckets = pieces(rows, BUCKET_BYTES, 1)  # by size alone, as every two buckets may have something to tell each other
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g, _, _, group in _grouped(batches, buckets):
