@@ -1,12 +1,18 @@
-"""Stored web pages to rows, with built-in text functions only."""
+"""Stored web pages to rows. Elements are cut in one Arrow pass over the pages, all else is built-in text functions.
+
+An end tag closes the last open element of its name and all that was opened in it; an end tag without such an element means nothing; what is still open at
+the end of the page ends there. So an element may hold others of its name, and each of them is an element too. Comments and the insides of scripts and styles hold no tags.
+A null page has no elements.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 from html.entities import name2codepoint
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitfeat.functions.dates import parse_date
@@ -23,6 +29,14 @@ CELL_POSITION = {"knockdowns": 2, "sig_strikes": 4, "total_strikes": 8, "takedow
 PAIR_CELLS = ["sig_strikes", "total_strikes", "takedown"]
 MATCH_MARKER = "fight-details"
 
+# Elements without an end tag, and those whose inside is no markup.
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+RAW = {"script", "style"}
+
+# A comment, or a tag: end mark, name, attributes (a ">" between quotes does not end the tag, unless a quote stays open).
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*+|[^>]*+)>""", re.S)
+CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+
 # A link's address: quoted either way, or bare.
 HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
@@ -53,15 +67,57 @@ def link_of(tag: Column) -> Column:
     return decoded(F.concat(*[F.regexp_extract(tag, HREF, k) for k in (1, 2, 3)]))
 
 
-def elements(html: Column, tag: str, css_class: str | None = None) -> Column:
-    """Inner texts of all non-nested ``tag`` elements, optionally with a class, in page order."""
-    attrs = "[^>]*" if css_class is None else rf"[^>]*\bclass\s*=\s*[\"'](?:[^\"']*\s)?{re.escape(css_class)}(?:\s[^\"']*)?[\"'][^>]*"
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?=[\s>]){attrs}>(.*?)</{tag}\s*>"), F.lit(1))
+def _tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(from, to, is an end tag, name, attributes) of each tag, none from comments, scripts and styles."""
+    raw = None
+    for m in TAG.finditer(html):
+        name = (m[2] or "").lower()
+        if raw is not None and not (m[1] and name == raw) or not name:
+            continue
+        raw = name if name in RAW and not m[1] else None
+        yield m.start(), m.end(), bool(m[1]), name, m[3]
+
+
+def cut(html: str, wanted: list[tuple[str, str | None]]) -> list[list[str]]:
+    """For each wanted (tag, class or None), the inner markup of its elements in page order."""
+    names = {tag for tag, _ in wanted}
+    found: list[list[list[int]]] = [[] for _ in wanted]  # [from, to] of each element
+    stack, is_open = [], {}
+    for start, end, closes, name, attrs in _tags(html):
+        if closes:
+            if is_open.get(name):
+                last = None
+                while last != name:
+                    last, spans = stack.pop()
+                    is_open[last] -= 1
+                    for span in spans:
+                        span[1] = start
+        elif name not in VOID:
+            spans = []
+            if name in names:
+                of = CLASS.search(attrs)
+                classes = next(g for g in of.groups() if g is not None).split() if of else []
+                for k, (tag, css_class) in enumerate(wanted):
+                    if tag == name and (css_class is None or css_class in classes):
+                        spans.append([end, len(html)])
+                        found[k].append(spans[-1])
+            stack.append((name, spans))
+            is_open[name] = is_open.get(name, 0) + 1
+    return [[html[lo:hi] for lo, hi in each] for each in found]
+
+
+def elements(html: Column, *wanted: tuple[str, str | None]) -> Column:
+    """For each wanted (tag, class or None), the inner texts of its elements in page order: an array of arrays, from one pass over the page."""
+    @F.pandas_udf("array<array<string>>")
+    def of(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda page: cut(page or "", list(wanted)))
+
+    return of(html)
 
 
 def extract_listing(pages: DataFrame, page: str = "page_id", html: str = "html", row: tuple[str, str | None] = LISTING_ROW) -> DataFrame:
     """Listed events: link and title of the first anchor with a link, and the date, of each row of a listing page; rows lacking any of them are dropped."""
-    rows = pages.select(F.col(page), F.posexplode(elements(F.col(html), *row)).alias("position", "_row"))
+    rows = pages.select(F.col(page), elements(F.col(html), row).alias("_found")).select(page, F.posexplode(F.get("_found", F.lit(0))).alias("position", "_row"))
     anchor = F.regexp_extract("_row", HREF + r"[^>]*>.*?</a\s*>", 0)
     title = text_of(F.regexp_extract(anchor, r"(?is)<a\b[^>]*>(.*?)</a\s*>", 1))
     day = parse_date(text_of(F.regexp_extract("_row", r"(?is)<span\b[^>]*>(.*?)</span\s*>", 1)))
@@ -86,11 +142,13 @@ def union_distinct(frames: list[DataFrame], key: str) -> DataFrame:
 
 def extract_match_stats(pages: DataFrame, url: str = "url", html: str = "html", cells: Mapping[str, int] = CELL_POSITION) -> DataFrame:
     """Two rows per match page, one per entity, with the figures found at fixed cell positions."""
-    page = pages.select(
-        norm_key(F.col(url)).alias("fight_url"),
-        F.transform(elements(F.col(html), *MATCH_CELL), text_of).alias("_cells"),
-        F.transform(elements(F.col(html), *MATCH_PERSON), text_of).alias("_names"),
-        F.coalesce(text_of(F.get(elements(F.col(html), *MATCH_TITLE), F.lit(0))), F.lit("")).alias("_title"))
+    cut_pages = pages.select(norm_key(F.col(url)).alias("fight_url"), elements(F.col(html), MATCH_CELL, MATCH_PERSON, MATCH_TITLE).alias("_found"))
+    last = max(cells.values()) + 2
+    page = cut_pages.select(
+        "fight_url",
+        F.transform(F.slice(F.get("_found", F.lit(0)), 1, last), text_of).alias("_cells"),
+        F.transform(F.slice(F.get("_found", F.lit(1)), 1, 2), text_of).alias("_names"),
+        F.coalesce(text_of(F.get(F.get("_found", F.lit(2)), F.lit(0))), F.lit("")).alias("_title"))
     sides = page.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
 
     def cell(name: str) -> Column:
