@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pitfeat.llm.common import crc_mod, documents, pieces, query, small
 from pitfeat.session import durable
 
-GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20  # of text; of the stored table, some 14 MB of text
+GROUP_BYTES, BUCKET_BYTES = 8 << 20, 4 << 20  # of text; of the stored table
 BURN_IN, SAMPLES, SEED = 2, 3, 11
 EXACT, BLOCK = 64, 32
 END_HASH = (1 << 64) - 1  # the end of a text; as a context, the start of one
