@@ -49,6 +49,6 @@ def test_pipeline_ids_decode_to_texts(spark, sf_dir):
 
 def test_registered():
     assert {"pipeline", *(n for n in queries() if re.match(r"op\d+_", n))} <= set(queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries() if re.match(r"op\d+_", n)) == list(range(1, 11))
-    assert {"op9_line_dedup", "op10_url_filter"} <= set(oracle_sql())
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries() if re.match(r"op\d+_", n)) == list(range(1, 14))
+    assert {"op9_line_dedup", "op10_url_filter", "op12_collocations", "op13_conversation_trie"} <= set(oracle_sql())
     assert odd_rows()
