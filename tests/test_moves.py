@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from pitfeat.operators.aggregates import with_class_weight
 from tests.test_plans import plan
 
 
@@ -11,3 +14,15 @@ def test_stored_labels(spark, sf_dir):
 
     text = plan(labelled(spark, sf_dir))
     assert "Join" not in text and "Exchange" not in text
+
+
+def test_class_weights_do_not_gather_classes(spark):
+    rows = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(40)] + [(99, None)], "id int, label string")
+    got = with_class_weight(rows, "label")
+    assert "Exchange" not in plan(got) and "Join" not in plan(got)
+    assert got.columns == ["label", "id", "weight"]
+    assert {(r.label, r.weight) for r in got.collect()} == {("a", 40 / 60), ("b", 2.0), (None, None)}
+    for kind in ("long", "short", "double", "boolean"):
+        some = spark.createDataFrame([(0,), (1,), (1,), (None,)], "c int").select(F.col("c").cast(kind).alias("c"))
+        assert sorted(r.weight for r in with_class_weight(some, "c").where("c is not null").collect()) == [0.75, 0.75, 1.5]
+    assert with_class_weight(rows.where("id < 0"), "label").collect() == []
