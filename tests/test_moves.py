@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from pitfeat.operators.aggregates import with_class_weight
+from pitfeat.operators.ordered import time_index
 from tests.test_plans import plan
 
 
@@ -26,3 +29,13 @@ def test_class_weights_do_not_gather_classes(spark):
         some = spark.createDataFrame([(0,), (1,), (1,), (None,)], "c int").select(F.col("c").cast(kind).alias("c"))
         assert sorted(r.weight for r in with_class_weight(some, "c").where("c is not null").collect()) == [0.75, 0.75, 1.5]
     assert with_class_weight(rows.where("id < 0"), "label").collect() == []
+
+
+def test_time_index_moves_rows_once(spark):
+    days = [random.Random(3).randrange(50) for _ in range(300)]
+    rows = spark.createDataFrame([(i, d if d else None) for i, d in enumerate(days)], "id int, day int")
+    got = time_index(rows, ["day", "id"])
+    assert "Exchange" not in plan(got) and "Window" not in plan(got)
+    want = sorted(range(300), key=lambda i: (days[i], i))
+    assert [r.id for r in got.orderBy("idx").collect()] == want and [r.idx for r in got.orderBy("idx").collect()] == list(range(300))
+    assert time_index(rows.where("id < 0"), ["day", "id"]).collect() == []
