@@ -12,7 +12,7 @@ from collections.abc import Iterator, Mapping
 from functools import reduce
 from html.entities import name2codepoint
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pitfeat.functions.dates import parse_date
@@ -34,7 +34,7 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 RAW = {"script", "style"}
 
 # A comment, or a tag: end mark, name, attributes (a ">" between quotes does not end the tag, unless a quote stays open).
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*+|[^>]*+)>""", re.S)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^'"<>]++|"[^"]*"|'[^']*')*+|[^>]*+)>""", re.S)
 CLASS = re.compile(r"""(?:^|\s)class\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 # A link's address: quoted either way, or bare.
@@ -71,16 +71,21 @@ def _tags(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
     """(from, to, is an end tag, name, attributes) of each tag, none from comments, scripts and styles."""
     raw = None
     for m in TAG.finditer(html):
-        name = (m[2] or "").lower()
-        if raw is not None and not (m[1] and name == raw) or not name:
+        closes, name, attrs = m.groups()
+        if not name:
             continue
-        raw = name if name in RAW and not m[1] else None
-        yield m.start(), m.end(), bool(m[1]), name, m[3]
+        name = name.lower()
+        if raw is not None and not (closes and name == raw):
+            continue
+        raw = name if name in RAW and not closes else None
+        yield *m.span(), bool(closes), name, attrs
 
 
 def cut(html: str, wanted: list[tuple[str, str | None]]) -> list[list[str]]:
     """For each wanted (tag, class or None), the inner markup of its elements in page order."""
-    names = {tag for tag, _ in wanted}
+    places: dict[str, list[tuple[int, str | None]]] = {}
+    for k, (tag, css_class) in enumerate(wanted):
+        places.setdefault(tag, []).append((k, css_class))
     found: list[list[list[int]]] = [[] for _ in wanted]  # [from, to] of each element
     stack, is_open = [], {}
     for start, end, closes, name, attrs in _tags(html):
@@ -94,11 +99,11 @@ def cut(html: str, wanted: list[tuple[str, str | None]]) -> list[list[str]]:
                         span[1] = start
         elif name not in VOID:
             spans = []
-            if name in names:
+            if name in places:
                 of = CLASS.search(attrs)
-                classes = next(g for g in of.groups() if g is not None).split() if of else []
-                for k, (tag, css_class) in enumerate(wanted):
-                    if tag == name and (css_class is None or css_class in classes):
+                classes = of[of.lastindex].split() if of else ()
+                for k, css_class in places[name]:
+                    if css_class is None or css_class in classes:
                         spans.append([end, len(html)])
                         found[k].append(spans[-1])
             stack.append((name, spans))
@@ -108,9 +113,9 @@ def cut(html: str, wanted: list[tuple[str, str | None]]) -> list[list[str]]:
 
 def elements(html: Column, *wanted: tuple[str, str | None]) -> Column:
     """For each wanted (tag, class or None), the inner texts of its elements in page order: an array of arrays, from one pass over the page."""
-    @F.pandas_udf("array<array<string>>")
-    def of(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda page: cut(page or "", list(wanted)))
+    @F.arrow_udf("array<array<string>>")
+    def of(pages: pa.Array) -> pa.Array:
+        return pa.array([cut(page.as_py() or "", list(wanted)) for page in pages], pa.list_(pa.list_(pa.string())))
 
     return of(html)
 
