@@ -127,7 +127,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class _Links:
     """Links gathered up to a bound, then reduced to a forest."""
 
-    def __init__(self, most: int = 1 << 20) -> None:
+    def __init__(self, most: int = 1 << 18) -> None:
         self.most, self.parts, self.n = most, [], 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
@@ -189,8 +189,8 @@ def _keyed(nodes: DataFrame, hot: frozenset[int]) -> DataFrame:
         listed = np.array(sorted(hot), np.int64)
         for batch in batches:
             every = batch.column("fp").to_numpy()
-            for k in range(0, len(every), 1 << 13):
-                fp = every[k:k + (1 << 13)]
+            for k in range(0, len(every), 1 << 10):  # some 85 keys a fingerprint, held at once here and in the JVM
+                fp = every[k:k + (1 << 10)]
                 key, owner = keys_of(fp.view(np.uint64))
                 if len(listed):
                     heavy = np.isin(key, listed)
