@@ -37,6 +37,15 @@ GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 HOT_SHARE, HOT_KEYS = 64, 100_000
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of unsigned 64-bit hashes, as an unsigned number; 0 for none."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 1 << 14):
+        some = hashes[k:k + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprint(text: str | None) -> int:
     """SimHash of a text as an unsigned number; the most significant bit of the hashes first."""
     words = (text or "").encode().lower().split()  # bytes: A-Z only, the six white space characters only
@@ -45,12 +54,7 @@ def fingerprint(text: str | None) -> int:
     joined = b" ".join(words)
     ends = list(accumulate(words, lambda at, w: at + 1 + len(w), initial=-1))
     span = min(SHINGLE, len(words))
-    hashes = [xxhash.xxh64_digest(joined[a + 1:b], SEED) for a, b in zip(ends, ends[span:])]
-    ones = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), 1 << 14):
-        some = np.frombuffer(b"".join(hashes[k:k + (1 << 14)]), np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(some, axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+    return majority(np.frombuffer(b"".join(xxhash.xxh64_digest(joined[a + 1:b], SEED) for a, b in zip(ends, ends[span:])), ">u8"))
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
