@@ -13,7 +13,7 @@ from pitfeat.operators import metrics
 from pitfeat.operators.calibrate import fit_platt
 from pitfeat.operators.clean import binary_only
 from pitfeat.operators.features import GroupImputer
-from pitfeat.operators.models import PARALLEL_FITS, Bundle, fit_logistic, fit_stacker, fit_trees, importances, with_prob, zero_importance
+from pitfeat.operators.models import PARALLEL_FITS, Bundle, fit_logistic, fit_stacker, fit_trees_binned, importances, with_prob, zero_importance
 from pitfeat.operators.quality import metric_gate
 from pitfeat.operators.splits import calibration_tail, temporal_split
 from pitfeat.session import durable
@@ -40,7 +40,7 @@ def train_stack(df: DataFrame, features: Sequence[str], y: str, ts: str, order:
     parts = rows.where(F.col(split) != "val").withColumn("_tail", F.lit(False)).unionByName(val)
     ready = durable(imputer.transform(parts))
     fit_rows = ready.where((F.col(split) == "train") | ((F.col(split) == "val") & ~F.col("_tail"))).withColumn("_is_val", F.col(split) == "val")
-    fits = {f"trees_{i}": partial(fit_trees, fit_rows, features, y, "_is_val", **dict(p)) for i, p in enumerate(tree_params)}
+    fits = {f"trees_{i}": partial(fit_trees_binned, fit_rows, features, y, "_is_val", **dict(p)) for i, p in enumerate(tree_params)}
     fits["logistic"] = partial(fit_logistic, fit_rows.where(~F.col("_is_val")), features, y)
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         base = dict(zip(fits, pool.map(lambda fit: fit(), fits.values())))

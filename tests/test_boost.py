@@ -40,7 +40,7 @@ def test_same_trees_as_spark_ml(rows, monkeypatch, here, val, weight, params):
     """In one task and in passes over all blocks; margins are stored after a few trees."""
     monkeypatch.setattr(boost, "HERE", here)
     monkeypatch.setattr(boost, "STORE", 3)
-    want, got = plain(rows, val, weight, **params), m.fit_trees(rows, FEATURES, "y", val, weight, **params)
+    want, got = plain(rows, val, weight, **params), m.fit_trees_binned(rows, FEATURES, "y", val, weight, **params)
     assert got.stages[-1].getNumTrees == want.stages[-1].getNumTrees
     off = m.with_prob(m.with_prob(rows, want, "p"), got, "q").agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0]
     assert off < 1e-9
@@ -63,7 +63,7 @@ def test_draws_of_rows_and_features(rows, monkeypatch):
 def test_missing_features_and_other_labels_are_errors(spark):
     for made in ([(1.0, 0), (None, 1)], [(1.0, 0), (2.0, 2)]):
         with pytest.raises(Exception, match="MUST NOT be N|class number"):
-            m.fit_trees(spark.createDataFrame(made, "a double, y int"), ["a"], "y")
+            m.fit_trees_binned(spark.createDataFrame(made, "a double, y int"), ["a"], "y")
 
 
 @pytest.mark.parametrize("query, at, name, first, want", [
@@ -89,6 +89,6 @@ def test_back_test_runs_all_folds_policies_and_candidates(spark, sf_dir, monkeyp
     with pytest.raises(Seen):
         flows.backtest_walkforward(spark, sf_dir)
     fitted = []
-    monkeypatch.setattr("pitfeat.plans.backtest.fit_trees", lambda *a, **given: fitted.append(given))
+    monkeypatch.setattr("pitfeat.plans.backtest.fit_trees_binned", lambda *a, **given: fitted.append(given))
     flows._setup().candidates["trees"](None, FEATURES, "y")
     assert fitted == [{}]
